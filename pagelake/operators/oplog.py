@@ -33,7 +33,9 @@ def logger_summary(op_log: DataFrame, mem_log: DataFrame, error_log: DataFrame)
     """
     def span(df: DataFrame, errors) -> DataFrame:
         return df.groupBy("logger").agg(
-            F.min("ts").alias("start_time"), F.max("ts").alias("end_time"), errors.alias("error_count")
+            F.min("ts").cast("timestamp").alias("start_time"),
+            F.max("ts").cast("timestamp").alias("end_time"),
+            errors.alias("error_count"),
         )
 
     none = F.sum(F.lit(0).cast("bigint"))

@@ -93,6 +93,6 @@ def page_records(assembled: DataFrame) -> DataFrame:
     )
 
 
-def text_records(features: DataFrame) -> DataFrame:
-    """The text-zone record."""
-    return features.select("url", "entities", "keywords", "content_hash", "timestamp")
+def text_records(features: DataFrame, *also: str | Column) -> DataFrame:
+    """The text-zone record, with columns the caller adds."""
+    return features.select("url", "entities", "keywords", "content_hash", "timestamp", *also)

@@ -61,7 +61,8 @@ def crawl_sites(
         page_records(records.join(markup.select(*KEY, "html"), KEY)), root, F.col("crawler"), run_ts,
     )
     write_text(
-        with_text_features(records).transform(text_records), root, F.col("source"), run_ts,
+        with_text_features(records).transform(text_records, F.col("site").alias("source")),
+        root, F.col("source"), run_ts,
     )
     summary = crawl_summary(attempts)
     visited = attempts.filter(F.col("visit_order").isNotNull())

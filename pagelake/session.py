@@ -25,6 +25,7 @@ def build_session(app_name: str = "pagelake", cores: int | str = "*", **conf: st
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -24,9 +24,12 @@ def page_stream(
     fmt: str = "parquet",
     max_files: int | None = None,
     max_bytes: str | None = None,
+    glob: str | None = None,
 ) -> DataFrame:
     """New files of a folder, at most ``max_files`` or ``max_bytes`` per step."""
     reader = spark.readStream.schema(schema).format(fmt)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
