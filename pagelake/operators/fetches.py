@@ -50,9 +50,13 @@ def progress(pages: DataFrame, order: str = "fetch_order") -> DataFrame:
 
 
 def page_limit_cut(pages: DataFrame, order: str = "fetch_order", limit: str = "page_limit") -> DataFrame:
-    """The pages a site may still visit: rows before its ``page_limit``-th page with markup."""
+    """The pages a site may still visit: rows before its ``page_limit``-th page with markup.
+
+    Only keys are counted; the pages themselves meet the result by (site, order).
+    """
     visited = F.when(F.coalesce(F.col("html"), F.lit("")) != "", 1).otherwise(0)
+    keys = pages.select("site", order, limit, visited.alias("_visited"))
     counted = running_total(
-        pages, ["site"], [order], F.expr(f"{order} div {BUCKET_ROWS}"), visited, "_before", inclusive=False
+        keys, ["site"], [order], F.expr(f"{order} div {BUCKET_ROWS}"), F.col("_visited"), "_before", inclusive=False
     )
-    return counted.filter(F.col("_before") < F.col(limit)).drop("_before")
+    return pages.join(counted.filter(F.col("_before") < F.col(limit)), ["site", order], "left_semi")

@@ -27,18 +27,19 @@ def with_site(pages: DataFrame, sites: DataFrame) -> DataFrame:
     return salted_join(pages, base, ["site"], ["url"], how="inner")
 
 
-def site_nodes(extracted: DataFrame, mode: str = "prefix", fragments: bool = True) -> DataFrame:
-    """``site, url, content_hash, links`` of every extracted page; links distinct, in page order.
+def first_fetch(pages: DataFrame) -> DataFrame:
+    """A page fetched twice counts with its first fetch."""
+    return first_per_group(pages, KEY, ["fetch_order"])
 
-    A page fetched twice counts with its first fetch.
-    """
-    nodes = extracted.select(
+
+def site_nodes(extracted: DataFrame, mode: str = "prefix", fragments: bool = True) -> DataFrame:
+    """``site, url, content_hash, links, fetch_order``; links distinct, in page order."""
+    return extracted.select(
         *KEY,
         content_hash(F.col("text")).alias("content_hash"),
         F.array_distinct(site_links(F.col("links"), F.col("base_url"), mode, fragments)).alias("links"),
         "fetch_order",
     )
-    return first_per_group(nodes, KEY, ["fetch_order"]).drop("fetch_order")
 
 
 def next_frontier(expanded: DataFrame, seen: DataFrame) -> DataFrame:
@@ -104,8 +105,8 @@ def replay_nodes(
 ) -> DataFrame:
     """``site, url, depth, parent, pos, visit_order, status, content_hash`` of every attempt.
 
-    ``nodes`` as from ``site_nodes``; ``sites(name, url, page_limit)``. Pages
-    are attempted first in, first out; a failed fetch is not visited; a
+    ``nodes`` as from ``site_nodes``, one row per (site, url);
+    ``sites(name, url, page_limit)``. Pages are attempted first in, first out; a failed fetch is not visited; a
     duplicate is visited but neither emitted nor expanded; a site stops at its
     page limit.
     """
@@ -169,4 +170,5 @@ def crawl_replay(
 ) -> DataFrame:
     """The crawl of every site over ``pages(site, url, html, fetch_order)``, see ``replay_nodes``."""
     extracted = extract(with_site(pages.select(*KEY, "html", "fetch_order"), sites))
-    return replay_nodes(site_nodes(extracted, mode, fragments), sites, history, scratch)
+    nodes = first_fetch(site_nodes(extracted, mode, fragments))
+    return replay_nodes(nodes, sites, history, scratch)

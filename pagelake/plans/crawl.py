@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from pagelake.operators.dedup import with_content_hash
 from pagelake.operators.features import with_text_features
-from pagelake.operators.frontier import KEY, NEW, replay_nodes, site_nodes, with_site
-from pagelake.operators.pages import extract, page_records, stamp, with_url_hash
+from pagelake.operators.frontier import KEY, NEW, first_fetch, replay_nodes, site_nodes, with_site
+from pagelake.operators.pages import extract, page_records, stamp, text_records, with_url_hash
 from pagelake.operators.reports import crawl_summary, run_results, sitemap
 from pagelake.operators.sites import lookup_sites
-from pagelake.operators.skew import first_per_group
 from pagelake.session import materialize, new_scratch
 from pagelake.sinks.zones import write_raw, write_report, write_text
 
@@ -43,22 +42,22 @@ def crawl_sites(
     chosen = requested.filter("success")
     scratch = new_scratch(spark, "crawl")
 
+    # One row per (site, url) from here on; the markup stays behind.
     extracted = materialize(
-        extract(with_site(pages, chosen)).drop("html"), f"{scratch}/extracted"
+        first_fetch(extract(with_site(pages, chosen)).drop("html")), f"{scratch}/extracted"
     )
     attempts = replay_nodes(site_nodes(extracted), chosen, history, scratch).withColumn(
         "ts", F.lit(run_ts).cast("timestamp")
     )
 
     emitted = attempts.filter(F.col("status") == NEW).select(*KEY, "visit_order")
-    content = first_per_group(extracted, KEY, ["fetch_order"])
     records = (
-        emitted.join(content, KEY)
+        emitted.join(extracted, KEY)
         .transform(with_content_hash).transform(with_url_hash).transform(stamp, run_ts)
     )
-    markup = first_per_group(pages.select(*KEY, "html", "fetch_order"), KEY, ["fetch_order"])
+    markup = pages.select(*KEY, "fetch_order", "html")
     write_raw(
-        page_records(records.join(markup.select(*KEY, "html"), KEY)), root, F.col("crawler"), run_ts,
+        page_records(records.join(markup, [*KEY, "fetch_order"])), root, F.col("crawler"), run_ts
     )
     write_text(
         with_text_features(records).transform(text_records, F.col("site").alias("source")),

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from pagelake.operators.news import merge_articles, merge_summary
+from pagelake.session import materialize, new_scratch
 from pagelake.sinks.zones import write_raw, write_report
 
 
@@ -18,7 +19,7 @@ def merge_news(
     articles = sources[0]
     for other in sources[1:]:
         articles = articles.unionByName(other, allowMissingColumns=True)
-    merged = merge_articles(articles)
+    merged = materialize(merge_articles(articles), new_scratch(articles.sparkSession, "news"))
     write_raw(merged, root, "news_api", run_ts)
     summary = merge_summary(articles, merged).withColumn("timestamp", F.lit(run_ts).cast("timestamp"))
     write_report(summary, root, "news", "news_api", run_ts)

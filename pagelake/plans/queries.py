@@ -354,10 +354,12 @@ def site_extractors(spark, sf_dir):
 # -- crawl --------------------------------------------------------------------
 def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as the pages of one site per language: page j links to 8j+1 … 8j+8."""
-    docs = load_documents(spark, sf_dir).select(F.col("lang").alias("site"), "doc_id", "text")
-    numbered = running_total(
-        docs, ["site"], ["doc_id"], F.expr(f"doc_id div {BUCKET_ROWS}"), F.lit(1), "_n"
-    ).withColumn("_j", F.col("_n") - 1)
+    docs = table(spark, sf_dir, "documents").select(F.col("lang").alias("site"), "doc_id", "text")
+    # Only ids go through the numbering; the texts join it by their unique id.
+    order = running_total(
+        docs.select("site", "doc_id"), ["site"], ["doc_id"], F.expr(f"doc_id div {BUCKET_ROWS}"), F.lit(1), "_n"
+    ).select("doc_id", (F.col("_n") - 1).alias("_j"))
+    numbered = docs.join(order.hint("merge"), "doc_id")
     home = F.concat(F.lit("https://"), "site", F.lit(".example.org"))
     markup = F.regexp_replace(F.regexp_replace(F.col("text"), "&", "&amp;"), "<", "&lt;")
     anchors = F.transform(

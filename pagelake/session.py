@@ -8,11 +8,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings the operators rely on. Both may be set on a live session.
+# Runtime settings the operators rely on; all may be set on a live session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rank limits up to this size are applied before the shuffle (default 1000).
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
+    # Duplicate state of a stream lives on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -47,7 +47,7 @@ def write_dataset(
     if fmt != "parquet":
         writer = writer.option("compression", "gzip")
     if fmt == "csv":
-        writer = writer.options(header=True, escape='"', nullValue="\\N", emptyValue="")
+        writer = writer.options(header=True, escape='"', nullValue="\\N", emptyValue='""')
     if fmt == "json":
         writer = writer.option("ignoreNullFields", False)
     if partition_by:

@@ -23,7 +23,7 @@ def page_stream(
     schema,
     fmt: str = "parquet",
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     glob: str | None = None,
 ) -> DataFrame:
     """New files of a folder, at most ``max_files`` or ``max_bytes`` per step."""
