@@ -9,11 +9,13 @@ levels read and write narrow tables in the shared scratch folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from pagelake.functions.text import content_hash
 from pagelake.operators.pages import extract, site_links
-from pagelake.operators.skew import BUCKET_ROWS, first_per_group, running_total, salted_join
+from pagelake.operators.skew import (
+    BUCKET_ROWS, bucket_offsets, first_per_group, salted_join, total_in_bucket,
+)
 from pagelake.session import materialize, new_scratch
 
 KEY = ["site", "url"]
@@ -64,16 +66,15 @@ def _attempt_level(frontier: DataFrame, limits: DataFrame) -> DataFrame:
     page_limit)``. Adds ``visit_order``, null for failures.
     """
     fetched = F.when(F.col("content_hash").isNotNull(), 1).otherwise(0)
-    counted = running_total(
-        frontier, ["site"], ["parent", "pos"],
-        F.expr(f"parent div {BUCKET_ROWS}"), fetched, "_before", inclusive=False,
-    )
-    at = F.col("visited") + F.col("_before")
+    bucket = F.expr(f"parent div {BUCKET_ROWS}")
+    # The site's numbers join the few bucket rows, not the urls.
+    starts = bucket_offsets(frontier, ["site"], bucket, fetched).join(limits, "site")
+    at = F.col("visited") + F.col("_offset") + F.col("_before")
     return (
-        salted_join(counted, limits, ["site"], ["url"], how="inner")
+        total_in_bucket(frontier, ["site"], ["parent", "pos"], bucket, fetched, "_before", inclusive=False)
+        .join(starts, ["site", "_bucket"])
         .filter(at < F.col("page_limit"))
-        .withColumn("visit_order", F.when(F.col("content_hash").isNotNull(), at + 1))
-        .drop("_before", "visited", "page_limit")
+        .select(*frontier.columns, F.when(F.col("content_hash").isNotNull(), at + 1).alias("visit_order"))
     )
 
 
@@ -122,8 +123,12 @@ def replay_nodes(
     done = None
     depth = 0
     while True:
-        level = materialize(frontier.join(hashes, KEY, "left"), f"{scratch}/frontier/{depth}")
-        if level.isEmpty():
+        seen_rows = Observation()
+        level = materialize(
+            frontier.join(hashes, KEY, "left").observe(seen_rows, F.count(F.lit(1)).alias("rows")),
+            f"{scratch}/frontier/{depth}",
+        )
+        if not seen_rows.get["rows"]:
             return done if done is not None else _no_attempts(level)
         if done is None:
             limits = config.select("site", F.lit(0).cast("bigint").alias("visited"), "page_limit")

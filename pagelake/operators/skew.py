@@ -32,6 +32,39 @@ def salted_join(
     return left.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def bucket_offsets(
+    df: DataFrame, keys: Sequence[str], bucket: Column, value: Column, offset: str = "_offset"
+) -> DataFrame:
+    """``keys, _bucket, offset``: the sum of ``value`` over the earlier buckets of a key.
+
+    The window sees one row per bucket.
+    """
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = df.groupBy(*keys, bucket.alias("_bucket")).agg(F.sum(value).alias("_sum"))
+    return sums.select(*keys, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias(offset))
+
+
+def total_in_bucket(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    bucket: Column,
+    value: Column,
+    out: str,
+    inclusive: bool = True,
+) -> DataFrame:
+    """Adds ``_bucket`` and the running sum of ``value`` within (keys, bucket)."""
+    inside = (
+        Window.partitionBy(*keys, "_bucket").orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    )
+    return (
+        df.withColumns({"_bucket": bucket, "_value": value})
+        .withColumn(out, F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+        .drop("_value")
+    )
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
@@ -44,26 +77,16 @@ def running_total(
     """``sum(value) over (partition by keys order by order)`` without one task per key.
 
     ``bucket`` is a non-decreasing function of the order, such as the order
-    column divided by BUCKET_ROWS. Totals run inside (keys, bucket), and the
-    sum of the earlier buckets is added; the second window sees one row per
-    bucket. ``df`` is read twice: pass a table or a cheap projection.
+    column divided by BUCKET_ROWS: totals run inside (keys, bucket), and the
+    sum of the earlier buckets is added. ``df`` is read twice, so pass a table
+    or a cheap projection.
     """
-    frame_end = Window.currentRow if inclusive else -1
-    inside = (
-        Window.partitionBy(*keys, "_bucket").orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, frame_end)
-    )
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bucketed = df.withColumns({"_bucket": bucket, "_value": value})
-    offsets = (
-        bucketed.groupBy(*keys, "_bucket").agg(F.sum("_value").alias("_sum"))
-        .select(*keys, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    )
-    local = bucketed.withColumn(out, F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+    offsets = bucket_offsets(df, keys, bucket, value)
     return (
-        local.join(offsets, [*keys, "_bucket"])
+        total_in_bucket(df, keys, order, bucket, value, out, inclusive)
+        .join(offsets, [*keys, "_bucket"])
         .withColumn(out, F.col(out) + F.col("_offset"))
-        .drop("_bucket", "_value", "_offset")
+        .drop("_bucket", "_offset")
     )
 
 
