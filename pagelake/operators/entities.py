@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pagelake.functions.text import WORD_CHAR
 from pagelake.operators.skew import salted_join
 
-# Label -> pattern; callers may pass their own.
+# Label -> pattern; callers may pass their own. The e-mail name may only start at
+# the start of a run of its characters, else a long run without @ costs its square.
 PATTERNS: dict[str, str] = {
-    "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "EMAIL": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "IP": r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b",
     "PHONE": r"\+?\(?[0-9]{3}\)?[ -][0-9]{3}[ -][0-9]{4}\b",
     "URL": r"https?://[^\s<>\"']+",
@@ -47,31 +48,30 @@ def gazetteer_mentions(
     gazetteer: DataFrame,
     keys: Sequence[str],
     text: str = "text",
-    max_words: int = 3,
+    word_counts: Sequence[int] = (1, 2, 3),
 ) -> DataFrame:
     """Phrases of ``gazetteer(phrase, label)`` found in the texts, any case.
 
     Phrases are lower-case words with single spaces, one row per phrase and
-    label. Every run of up to ``max_words`` words is looked up.
+    label. Every run of as many words as ``word_counts`` says is looked up.
     """
     words = F.regexp_extract_all(F.col(text), F.lit(f"[{WORD_CHAR}]+"), F.lit(0))
-    # The runs starting at a word, from the words that follow it.
+    def run_at(i: Column, n: int) -> Column:
+        # Null where fewer than n words are left.
+        return F.when(
+            i + n <= F.size("_words"), F.array_join(F.slice("_words", i + 1, F.lit(n)), " ")
+        )
+
     starts = df.select(*keys, words.alias("_words")).select(
         *keys,
         F.posexplode(
-            F.transform(
-                "_words",
-                lambda _, i: F.transform(
-                    F.sequence(
-                        F.lit(1), F.least(F.lit(max_words), F.size("_words") - i)
-                    ),
-                    lambda n: F.array_join(F.slice("_words", i + 1, n), " "),
-                ),
-            )
+            F.transform("_words", lambda _, i: F.array(*(run_at(i, n) for n in word_counts)))
         ).alias("pos", "_runs"),
     )
-    candidates = starts.select(*keys, "pos", F.explode("_runs").alias("mention")).withColumn(
-        "phrase", F.lower("mention")
+    candidates = (
+        starts.select(*keys, "pos", F.explode("_runs").alias("mention"))
+        .filter(F.col("mention").isNotNull())
+        .withColumn("phrase", F.lower("mention"))
     )
     found = salted_join(
         candidates, gazetteer.select("phrase", "label"), ["phrase"], [*keys, "pos"], how="inner"
@@ -101,7 +101,7 @@ def tag_entities(
     text: str = "text",
     patterns: Mapping[str, str] = PATTERNS,
     gazetteer: DataFrame | None = None,
-    max_words: int = 3,
+    word_counts: Sequence[int] = (1, 2, 3),
 ) -> DataFrame:
     """``keys, entities`` of every text, an empty map where nothing matched.
 
@@ -110,7 +110,7 @@ def tag_entities(
     if gazetteer is None:
         return df.select(*keys, pattern_entities(F.col(text), patterns).alias("entities"))
     mentions = pattern_mentions(df, keys, text, patterns).unionByName(
-        gazetteer_mentions(df, gazetteer, keys, text, max_words)
+        gazetteer_mentions(df, gazetteer, keys, text, word_counts)
     )
     empty = F.create_map().cast(ENTITY_MAP)
     return (

@@ -16,7 +16,7 @@ from pagelake.operators.pages import extract, site_links
 from pagelake.operators.skew import (
     BUCKET_ROWS, bucket_offsets, first_per_group, salted_join, total_in_bucket,
 )
-from pagelake.session import materialize, new_scratch
+from pagelake.session import bucketed_table, materialize, new_scratch
 
 KEY = ["site", "url"]
 
@@ -107,13 +107,17 @@ def replay_nodes(
     """``site, url, depth, parent, pos, visit_order, status, content_hash`` of every attempt.
 
     ``nodes`` as from ``site_nodes``, one row per (site, url);
-    ``sites(name, url, page_limit)``. Pages are attempted first in, first out; a failed fetch is not visited; a
-    duplicate is visited but neither emitted nor expanded; a site stops at its
-    page limit.
+    ``sites(name, url, page_limit)``. Pages are attempted first in, first out; a
+    failed fetch is not visited; a duplicate is visited but neither emitted nor
+    expanded; a site stops at its page limit.
     """
+    scratch = scratch or new_scratch(nodes.sparkSession, "crawl")
+    with bucketed_table(nodes, f"{scratch}/nodes", KEY) as table:
+        return _replay(table, sites, history, scratch)
+
+
+def _replay(nodes: DataFrame, sites: DataFrame, history: DataFrame | None, scratch: str) -> DataFrame:
     spark = nodes.sparkSession
-    scratch = scratch or new_scratch(spark, "crawl")
-    nodes = materialize(nodes, f"{scratch}/nodes")
     config = sites.select(
         F.col("name").alias("site"), "url", F.col("page_limit").cast("bigint").alias("page_limit")
     )

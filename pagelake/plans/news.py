@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,15 +13,19 @@ from pagelake.sinks.zones import write_raw, write_report
 
 
 def merge_news(
-    sources: list[DataFrame], root: str, run_ts: datetime
+    sources: list[DataFrame], root: str, run_ts: datetime, responses: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Merge article tables (see ``api_articles``, ``rss_articles``), write the raw
-    zone and the run's summary; returns both."""
-    articles = sources[0]
-    for other in sources[1:]:
-        articles = articles.unionByName(other, allowMissingColumns=True)
+    zone and the run's summary; returns both.
+
+    ``responses(source_ord, origin, feed_url, error)`` names the sources that
+    answered, with or without articles; without it the articles tell.
+    """
+    articles = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
     merged = materialize(merge_articles(articles), new_scratch(articles.sparkSession, "news"))
     write_raw(merged, root, "news_api", run_ts)
-    summary = merge_summary(articles, merged).withColumn("timestamp", F.lit(run_ts).cast("timestamp"))
+    summary = merge_summary(articles if responses is None else responses, merged).withColumn(
+        "timestamp", F.lit(run_ts).cast("timestamp")
+    )
     write_report(summary, root, "news", "news_api", run_ts)
     return merged, summary

@@ -98,11 +98,14 @@ def page_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     hashed = raw.select("page_id", origin.alias("site"), "url", F.md5("html").alias("content_hash"))
     fetched = hashed.join(outcome, "page_id")
     ok = F.col("success")
-    first = fetched.filter(ok).groupBy("site", "content_hash").agg(F.min("page_id").alias("_first"))
-    return fetched.join(first, ["site", "content_hash"], "left").select(
+    # Joined back by page, not by hash: one hash may have very many pages.
+    first = fetched.filter(ok).groupBy("site", "content_hash").agg(F.min("page_id").alias("page_id")).select(
+        "page_id", F.lit(True).alias("_first")
+    )
+    return fetched.join(first, "page_id", "left").select(
         "site", "url", "page_id",
         F.when(~ok, frontier.FAILED)
-        .when(F.col("page_id") == F.col("_first"), frontier.NEW)
+        .when(F.col("_first"), frontier.NEW)
         .otherwise(frontier.DUPLICATE).alias("status"),
         (F.lit(RUN_TS).cast("timestamp") + F.make_dt_interval(secs=F.col("page_id").cast("decimal(18,6)"))).alias("ts"),
     )
@@ -295,7 +298,7 @@ def gazetteer_entities(spark, sf_dir):
         ))).alias("phrase")
     )
     gazetteer = grams.distinct().withColumn("label", F.lit("BENCH"))
-    mentions = entities.gazetteer_mentions(load_documents(spark, sf_dir), gazetteer, ["doc_id"], max_words=3)
+    mentions = entities.gazetteer_mentions(load_documents(spark, sf_dir), gazetteer, ["doc_id"], word_counts=[3])
     return mentions.groupBy("doc_id", "label").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("mention").alias("n_distinct"), F.min("pos").alias("first_pos")
     )

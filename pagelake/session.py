@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,6 +75,25 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def bucketed_table(df: DataFrame, path: str, keys: Sequence[str]) -> Iterator[DataFrame]:
+    """``df`` as a Parquet table bucketed by ``keys``, for joins that repeat.
+
+    Each later join on ``keys`` shuffles the other side only. There are as many
+    buckets as shuffle partitions, so rows that a window or aggregate on
+    ``keys`` has just placed are written where they are. The catalog entry goes
+    at the end; the files stay in the scratch folder.
+    """
+    spark = df.sparkSession
+    name = f"pagelake_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Give every core a share of a table that is stored in too few splits to do so.
 

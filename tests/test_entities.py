@@ -36,3 +36,8 @@ def test_repeats_are_kept_in_text_order(spark):
 
 def test_patterns_stay_in_the_row(spark, plan_of):
     assert "Exchange" not in plan_of(docs(spark).select(en.pattern_entities(F.col("text"))).filter("true"))
+
+
+def test_long_runs_are_linear(spark):
+    df = spark.createDataFrame([(1, "a" * 2_000_000)], "doc INT, text STRING")
+    assert en.tag_entities(df, ["doc"]).first().entities == {}

@@ -87,6 +87,11 @@ def test_news_run(spark, tmp_path):
     assert stored.filter("source = 'news_api'").count() == 5
     report = read_zone(spark, str(tmp_path) + "/reports", "news", "sources ARRAY<STRING>, total_articles BIGINT")
     assert report.first().total_articles == 5
+    responses = rows.select("source_ord", "origin", "feed_url", "error").unionByName(
+        spark.createDataFrame([(9, "rss", "quiet", None)], "source_ord INT, origin STRING, feed_url STRING, error STRING")
+    )
+    _, summary = merge_news([rows], str(tmp_path / "again"), datetime(2025, 4, 3), responses)
+    assert summary.first().sources == ["newsapi", "rss:f1", "rss:f2", "rss:f3", "rss:quiet"]
 
 
 @pytest.mark.parametrize("text, want", [
