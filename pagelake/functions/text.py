@@ -10,28 +10,50 @@ from pyspark.sql import Column, functions as F
 # Fixed value: texts are hashed and ranked in slices of this many characters.
 CHUNK_CHARS = 100_000
 
-# The characters Python's str.split() and str.strip() treat as blank; Java's \s is ASCII only.
-BLANK = r"\s\x0b\x1c-\x1f\x85\p{Z}"
-# The subset that str.splitlines() breaks at.
-LINE_BREAK = r"\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}"
-# Python's \w, without combining marks.
+# The characters Python's str.split() and str.strip() treat as blank
+# (Java's \s is ASCII only), those among them str.splitlines() breaks at, and \w
+# without combining marks.
+LATIN_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+OTHER_BLANKS = "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+LINE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 WORD_CHAR = r"\p{L}\p{N}_"
 
 
+def _one_of(chars: str) -> str:
+    """Character class as escapes, since a pattern may not hold raw line breaks."""
+    return "[" + "".join(rf"\x{{{ord(c):x}}}" for c in chars) + "]"
+
+
+def _replace_blanks(text: Column, within: Column, pattern, by: str) -> Column:
+    """Replace ``pattern(blank, line_break)`` in ``within``, a variant of ``text``.
+
+    Regex classes of Latin-1 characters are bit tables, other classes are chains
+    of range checks at every character. Texts without any character of the range
+    the other blanks lie in, most texts, take the fast class.
+    """
+    latin = pattern(_one_of(LATIN_BLANKS), _one_of("".join(c for c in LINE_BREAKS if c < "\u0100")))
+    every = pattern(_one_of(LATIN_BLANKS + OTHER_BLANKS), _one_of(LINE_BREAKS))
+    return F.when(text.rlike(r"[\x{1680}-\x{3000}]"), F.regexp_replace(within, every, by)).otherwise(
+        F.regexp_replace(within, latin, by)
+    )
+
+
 def clean_lines(text: Column) -> Column:
     """Trim every line, break lines at two spaces, drop blanks, join with newline.
 
     A run of blanks that holds a line break or two spaces separates two pieces,
     any other run stays, so one replacement and one trim say the whole rule.
     """
-    gap = rf"(?<![{BLANK}])[{BLANK}]*(?:[{LINE_BREAK}]|  )[{BLANK}]*+"
-    edges = rf"\A[{BLANK}]+|(?<![{BLANK}])[{BLANK}]+\z"
-    return F.regexp_replace(F.regexp_replace(text, gap, "\n"), edges, "")
+    def gap(blank: str, line_break: str) -> str:
+        # From the first blank of a run only, so that a long run is scanned once.
+        return f"(?={blank})(?<!{blank}){blank}*(?:{line_break}|  ){blank}*+"
+
+    return F.btrim(_replace_blanks(text, text, gap, "\n"), F.lit(LATIN_BLANKS + OTHER_BLANKS))
 
 
 def normalize(text: Column) -> Column:
     """Lower case, blank runs to one space, trimmed."""
-    return F.trim(F.regexp_replace(F.lower(text), f"[{BLANK}]+", " "))
+    return F.trim(_replace_blanks(text, F.lower(text), lambda blank, _: f"{blank}+", " "))
 
 
 def chunks(text: Column, size: int = CHUNK_CHARS) -> Column:

@@ -12,13 +12,13 @@ from pagelake.functions.text import (
 )
 from pagelake.operators.keywords import frequent_words, ranked_terms, term_counts, with_keywords
 
-BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0      　"
+BLANKS = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
 
 
 def random_texts(n, seed=7):
     rnd = random.Random(seed)
     words = ["Alpha", "beta", "été", "Straße", "x", "the", "and", "日本語", "a_b", "42", "don't", "ПРИВЕТ"]
-    out = ["", " ", "one", "\n\n", "  a  b  ", "​z", "the and"]
+    out = ["", " ", "one", "\n\n", "  a  b  ", f"a{BLANKS}b", *(f"a{b}b {b} c" for b in BLANKS), "​z", "the and"]
     for _ in range(n):
         parts = []
         for _ in range(rnd.randint(1, 40)):
