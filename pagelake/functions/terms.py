@@ -16,6 +16,7 @@ from pagelake.functions.text import chunks, long_words, tokens, with_bigrams
 TOP_N = 10
 # Fixed value: terms a chunk may keep before ranking.
 MAX_FEATURES = 50
+_NO_TERMS = "array<struct<tf:int,term:string>>"
 
 
 @lru_cache(maxsize=None)
@@ -56,28 +57,47 @@ def count_terms(terms: Column) -> Column:
             lambda r: F.struct(r["size"].alias("tf"), F.get(s, r["start"]).alias("term")),
         ),
     )
-    return F.when(F.size(terms) > 0, counted).otherwise(
-        F.array().cast("array<struct<tf:int,term:string>>")
+    return F.when(F.size(terms) > 0, counted).otherwise(F.array().cast(_NO_TERMS))
+
+
+def _longest(runs: Column, n: int) -> Column:
+    """The runs no shorter than the ``n``-th longest: all that can be in a top ``n``."""
+    def at_least_nth(r: Column) -> Column:
+        nth = F.get(F.sort_array(F.transform(r, lambda x: x["size"]), asc=False), F.lit(n - 1))
+        return _let(
+            F.coalesce(nth, F.lit(0)), lambda least: F.filter(r, lambda x: x["size"] >= least)
+        )
+
+    return _let(runs, at_least_nth)
+
+
+def _take(ranked: Column, n: int) -> Column:
+    """The first ``n`` of an array of structs that start with the negated count."""
+    return F.transform(
+        F.slice(F.sort_array(ranked), 1, n),
+        lambda c: F.struct((-c["tf"]).alias("tf"), c["term"].alias("term")),
     )
 
 
 def top_terms(terms: Column, n: int) -> Column:
     """The ``n`` most frequent of a term array as ``array<struct<tf, term>>``, ties by term."""
-    ranked = F.sort_array(
-        F.transform(count_terms(terms), lambda c: F.struct((-c["tf"]).alias("tf"), c["term"].alias("term")))
-    )
-    return F.transform(
-        F.slice(ranked, 1, n), lambda c: F.struct((-c["tf"]).alias("tf"), c["term"].alias("term"))
+    ranked = _let(
+        F.sort_array(terms),
+        lambda s: F.transform(
+            _longest(_runs(s, lambda a, b: a == b), n),
+            lambda r: F.struct((-r["size"]).alias("tf"), F.get(s, r["start"]).alias("term")),
+        ),
     )
+    return F.when(F.size(terms) > 0, _take(ranked, n)).otherwise(F.array().cast(_NO_TERMS))
 
 
 def top_words(words: Column, n: int) -> Column:
     """As ``top_terms``, but ties by first occurrence."""
     placed = F.transform(words, lambda w, i: F.struct(w.alias("term"), i.alias("pos")))
-    counted = _let(
+    ranked = _let(
         F.sort_array(placed),
         lambda s: F.transform(
-            _runs(s, lambda a, b: a["term"] == b["term"]),
+            _longest(_runs(s, lambda a, b: a["term"] == b["term"]), n),
             lambda r: F.struct(
                 (-r["size"]).alias("tf"),
                 F.get(s, r["start"])["pos"].alias("pos"),
@@ -85,11 +105,7 @@ def top_words(words: Column, n: int) -> Column:
             ),
         ),
     )
-    best = F.transform(
-        F.slice(F.sort_array(counted), 1, n),
-        lambda c: F.struct((-c["tf"]).alias("tf"), c["term"].alias("term")),
-    )
-    return F.when(F.size(words) > 0, best).otherwise(F.array().cast("array<struct<tf:int,term:string>>"))
+    return F.when(F.size(words) > 0, _take(ranked, n)).otherwise(F.array().cast(_NO_TERMS))
 
 
 def chunk_terms(text: Column, stop_words: Iterable[str] | None = None) -> Column:
