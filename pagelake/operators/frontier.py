@@ -88,14 +88,16 @@ def _with_status(attempted: DataFrame, known: DataFrame) -> DataFrame:
         attempted.filter(F.col("content_hash").isNotNull())
         .groupBy("site", "content_hash").agg(F.min("visit_order").alias("visit_order"))
         .join(known.select("site", "content_hash"), ["site", "content_hash"], "left_anti")
-        .select("site", "visit_order", F.lit(NEW).alias("_new"))
+        .select("site", F.col("visit_order").alias("_key"), F.lit(True).alias("_new"))
     )
-    return attempted.join(first, ["site", "visit_order"], "left").withColumn(
+    # Failures have no visit order; negative keys, which match nothing, spread them.
+    spread_key = F.coalesce("visit_order", -F.pmod(F.xxhash64("url"), F.lit(1 << 31)))
+    return attempted.withColumn("_key", spread_key).join(first, ["site", "_key"], "left").withColumn(
         "status",
         F.when(F.col("content_hash").isNull(), FAILED)
         .when(F.col("_new").isNotNull(), NEW)
         .otherwise(DUPLICATE),
-    ).drop("_new")
+    ).drop("_new", "_key")
 
 
 def replay_nodes(

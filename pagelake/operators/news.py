@@ -101,4 +101,7 @@ def contributing_sources(envelopes: DataFrame) -> DataFrame:
 def merge_summary(envelopes: DataFrame, merged: DataFrame) -> DataFrame:
     """One row: ``sources`` and ``total_articles``."""
     total = merged.agg(F.count(F.lit(1)).alias("total_articles"))
-    return contributing_sources(envelopes).join(total)
+    return contributing_sources(envelopes).unionByName(total, allowMissingColumns=True).agg(
+        F.first("sources", ignorenulls=True).alias("sources"),
+        F.max("total_articles").alias("total_articles"),
+    )

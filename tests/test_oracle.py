@@ -30,10 +30,10 @@ def test_entry(spark):
     assert df.count() > 0 and df.columns == ["site", "content_hash", "url", "timestamp", "keywords", "entities"]
 
 
-def test_no_cross_join_on_data(spark, plan_of):
-    """The one nested-loop join pairs two one-row summaries."""
+def test_no_cross_join(spark, plan_of):
+    # The others run jobs while they are built; their parts are checked by name elsewhere.
+    eager = ("stream", "zone", "round_trip", "crawl_replay", "news_run", "api", "rss", "log_parse")
     for name, query in entry_module.queries().items():
-        if name.startswith(("news_summary", "stream", "zone", "round_trip", "crawl_replay", "news_run", "api", "rss", "log_parse")):
-            continue
-        plan = plan_of(query(spark, SF_DIR))
-        assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+        if not name.startswith(eager):
+            plan = plan_of(query(spark, SF_DIR))
+            assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
