@@ -760,3 +760,14 @@ def stream_text_records(spark, sf_dir):
         "site", "content_hash", "timestamp", F.array_join("keywords", "|").alias("keywords"),
         F.size("entities").alias("n_labels"),
     )
+
+
+@query
+def stream_reports(spark, sf_dir):
+    """Pages as a stream of attempts, then the run's summary and site-map size per site."""
+    root = new_scratch(spark, "stream-reports")
+    attempts = stream.attempt_stream(page_source(spark, sf_dir), RUN_TS)
+    stream.stream_to_zone(attempts, root, stream.ATTEMPTS, f"{root}/state", event_time="ts").awaitTermination()
+    summary, urls = stream.finish_run(spark, root, RUN_TS)
+    sizes = urls.groupBy("site").agg(F.count("url").alias("n_urls"))
+    return summary.join(sizes, "site").select("site", "total_pages", "failed_crawls", "n_urls", "end_time")

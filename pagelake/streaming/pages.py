@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,10 +12,14 @@ from pagelake.functions.dates import date_parts
 from pagelake.operators.dedup import scope_keys
 from pagelake.operators.entities import PATTERNS
 from pagelake.operators.features import with_text_features
+from pagelake.operators.frontier import FAILED, NEW
 from pagelake.operators.pages import assemble
-from pagelake.sinks.zones import PARTITIONS
+from pagelake.operators.reports import crawl_summary, sitemap
+from pagelake.sinks.zones import PARTITIONS, write_report
+from pagelake.sources.datasets import read_zone
 
 SALTS = 16
+ATTEMPTS = "attempts"
 
 
 def page_stream(
@@ -95,3 +100,28 @@ def text_stream(
     narrow = assemble(pages, run_ts).select("site", "content_hash", "url", "timestamp", "text")
     unique = drop_seen(narrow, scope, event_time="timestamp" if ttl else None, ttl=ttl)
     return with_text_features(unique, patterns).drop("text")
+
+
+def attempt_stream(pages: DataFrame, run_ts=None) -> DataFrame:
+    """Streaming ``source, url, status, ts``: one fetch attempt per page, failed without markup."""
+    ts = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
+    fetched = F.coalesce(F.col("html"), F.lit("")) != ""
+    return pages.select(
+        F.col("site").alias("source"), "url",
+        F.when(fetched, NEW).otherwise(FAILED).alias("status"), ts.alias("ts"),
+    )
+
+
+def finish_run(spark: SparkSession, root: str, run_ts: datetime) -> tuple[DataFrame, DataFrame]:
+    """Summary and site map of the run's day, from the attempts its stream has written.
+
+    Call it when the stream has ended. Both are written as reports and returned.
+    """
+    attempts = read_zone(
+        spark, root, ATTEMPTS, "url STRING, status STRING, ts TIMESTAMP", day=f"{run_ts:%Y-%m-%d}"
+    ).withColumnRenamed("source", "site")
+    summary = crawl_summary(attempts)
+    urls = sitemap(attempts.filter(F.col("status") != FAILED), run_ts)
+    write_report(summary, root, "summary", F.col("site"), run_ts)
+    write_report(urls, root, "sitemap", F.col("site"), run_ts)
+    return summary, urls

@@ -65,3 +65,16 @@ def test_text_stream_to_zone_equals_batch(spark, tmp_path):
         return sorted(str(tuple(r)) for r in df.select("content_hash", "keywords", F.map_entries("entities")).collect())
 
     assert plain(got) == plain(want) and len(plain(got)) == 7
+
+
+def test_reports_after_the_stream(spark, tmp_path):
+    rows = [("s", "u1", "<p>x"), ("s", "u2", None), ("s", "u1", "<p>x"), ("t", "v", "")]
+    schema = "site STRING, url STRING, html STRING"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    attempts = stream.attempt_stream(stream.page_stream(spark, str(tmp_path / "in"), schema), T0)
+    stream.stream_to_zone(attempts, str(tmp_path), stream.ATTEMPTS, str(tmp_path / "state"), event_time="ts").awaitTermination()
+    summary, urls = stream.finish_run(spark, str(tmp_path), T0)
+    assert {(r.site, r.total_pages, r.failed_crawls) for r in summary.collect()} == {("s", 2, 1), ("t", 0, 1)}
+    assert [(r.site, r.url, r.last_updated) for r in urls.collect()] == [("s", "u1", T0)]
+    stored = read_zone(spark, str(tmp_path) + "/reports", "summary", "site STRING, total_pages BIGINT")
+    assert stored.count() == 2
