@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows here are costly, so small shuffles still use every core (default 1 MB).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # Rank limits up to this size are applied before the shuffle (default 1000).
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # Duplicate state of a stream lives on disk, not on the heap.
