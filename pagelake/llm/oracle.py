@@ -17,10 +17,10 @@ WITH w AS (
 ), word AS (
   SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS p FROM w
 ), last AS (
-  SELECT word.doc_id, word.word, word.p, max(rep.i) OVER (PARTITION BY word.doc_id ORDER BY word.p) AS at
+  SELECT word.doc_id, word.word, word.p, max(rep.i) OVER (PARTITION BY word.doc_id ORDER BY word.p) AS begun
   FROM word LEFT JOIN rep ON rep.doc_id = word.doc_id AND rep.i = word.p
 ), kept AS (
-  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM last WHERE at IS NULL OR p - at > 34 GROUP BY doc_id
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM last WHERE begun IS NULL OR p - begun > 34 GROUP BY doc_id
 )
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
