@@ -36,10 +36,11 @@ _PAGE_ARROW = pa.struct([
     ("links", pa.list_(pa.struct([("href", pa.string()), ("url", pa.string())]))),
     ("images", pa.list_(pa.struct([("url", pa.string()), ("alt_text", pa.string())]))),
     ("metadata", pa.map_(pa.string(), pa.string())),
+    ("error", pa.string()),
 ])
 PAGE_STRUCT = (
     f"STRUCT<text STRING, links ARRAY<STRUCT<{LINK}>>, images ARRAY<STRUCT<{IMAGE}>>, "
-    "metadata MAP<STRING,STRING>>"
+    "metadata MAP<STRING,STRING>, error STRING>"
 )
 
 
@@ -63,8 +64,9 @@ class _Page(HTMLParser):
         self._pending.append(data)
 
     def handle_charref(self, name):
-        digits = name[1:] if name[:1] in "xX" else name
-        code = int(digits, 16 if name[:1] in "xX" else 10)
+        digits = (name[1:] if name[:1] in "xX" else name).lstrip("0") or "0"
+        # No code point has more than seven digits, and very long numbers don't parse.
+        code = int(digits, 16 if name[:1] in "xX" else 10) if len(digits) <= 7 else 0x110000
         if code >= 0x110000:
             self._pending.append("\ufffd")
         elif 0x80 <= code < 0xA0:  # browsers read these as windows-1252
@@ -105,6 +107,13 @@ class _Page(HTMLParser):
             self._pending.append(data[6:])
             self._flush()
 
+    def parse_html_declaration(self, i):
+        """Declarations that follow no rule count as comments, as browsers read them."""
+        try:
+            return super().parse_html_declaration(i)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
     # -- tags ---------------------------------------------------------------
     def handle_starttag(self, tag, attrs):
         self._enter(tag, attrs)
@@ -182,18 +191,20 @@ def _utf8(text):
 
 
 def parse_page(html, url, base_url):
-    """One page as a dict of the four results; None for markup the parser refuses."""
-    page = _Page()
+    """One page as a dict of the four results; ``error`` says why the parser stopped before the end."""
+    page, error = _Page(), None
     try:
         page.feed(html)
         page.finish()
-    except AssertionError:
-        return None
+    except (AssertionError, ValueError) as stopped:
+        error = f"{type(stopped).__name__}: {stopped}"
+        page._flush()
     return {
         "text": _utf8("".join(page.texts)),
         "links": [{"href": _utf8(h), "url": _resolve(url, _utf8(h))} for h in page.hrefs],
         "images": [{"url": _resolve(base_url, _utf8(s)), "alt_text": _utf8(a)} for s, a in page.images],
         "metadata": [(_utf8(k), None if v is None else _utf8(v)) for k, v in page.meta.items()],
+        "error": error and _utf8(error),
     }
 
 
@@ -209,8 +220,8 @@ def parse_html(html: Column, url: Column, base_url: Column) -> Column:
     """Struct of raw text, links resolved against the page, images resolved
     against the site, and metadata.
 
-    Marked non-deterministic so that the optimizer neither pushes a filter on
-    the result below the parse nor copies the parse into several projections.
+    Deterministic, so filters on other columns are pushed below it. Explode it
+    from an array of one, as ``extract`` does, to keep the optimizer from copying
+    the parse into every use of a field.
     """
-    udf = F.arrow_udf(_parse_batch, PAGE_STRUCT).asNondeterministic()
-    return udf(html, url, base_url)
+    return F.arrow_udf(_parse_batch, PAGE_STRUCT)(html, url, base_url)

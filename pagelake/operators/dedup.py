@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pagelake.functions.text import content_hash
 from pagelake.operators.skew import first_per_group, top_n_per_group
 
-MAX_HASHES = 10_000
-
 
 def scope_keys(scope: str) -> list[str]:
     if scope == "site":
@@ -52,14 +50,16 @@ def duplicate_groups(df: DataFrame, id_col: str, keys: Sequence[str] = ("content
 
 
 def update_history(
-    history: DataFrame, kept: DataFrame, max_hashes: int = MAX_HASHES, seen_at: str = "seen_at"
+    history: DataFrame, kept: DataFrame, max_hashes: int | None = None, seen_at: str = "seen_at"
 ) -> DataFrame:
-    """Earlier and new hashes, cut to the latest ``max_hashes`` of each site."""
+    """Earlier and new hashes; with ``max_hashes`` only the latest so many of each site."""
     cols = ["site", "content_hash", seen_at]
     merged = (
         history.select(*cols).unionByName(kept.select(*cols))
         .groupBy("site", "content_hash").agg(F.max(seen_at).alias(seen_at))
     )
+    if max_hashes is None:
+        return merged
     return top_n_per_group(
         merged, ["site"], [F.desc(seen_at), F.asc("content_hash")], max_hashes, ["content_hash"]
     )

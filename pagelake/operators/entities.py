@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagelake.functions.text import WORD_CHAR
-from pagelake.operators.skew import salted_join
 
 # Label -> pattern; callers may pass their own. The e-mail name may only start at
 # the start of a run of its characters, else a long run without @ costs its square.
@@ -73,9 +72,7 @@ def gazetteer_mentions(
         .filter(F.col("mention").isNotNull())
         .withColumn("phrase", F.lower("mention"))
     )
-    found = salted_join(
-        candidates, gazetteer.select("phrase", "label"), ["phrase"], [*keys, "pos"], how="inner"
-    )
+    found = candidates.join(gazetteer.select("phrase", "label"), "phrase")
     return found.select(*keys, "label", F.lit(1).alias("source"), "pos", "mention")
 
 

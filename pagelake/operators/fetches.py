@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pagelake.operators.skew import BUCKET_ROWS, running_total
 
-MAX_RETRIES = 1
-
 
 def number_attempts(log: DataFrame, max_retries: int, order: list[str | Column]) -> DataFrame:
     """Numbers each url's attempts from 1 and keeps those the retry limit allows.
@@ -19,27 +17,26 @@ def number_attempts(log: DataFrame, max_retries: int, order: list[str | Column])
     return log.withColumn("attempt", F.row_number().over(by_url)).filter(F.col("attempt") <= max_retries)
 
 
-def fetch_outcome(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
+def fetch_outcome(attempts: DataFrame, max_retries: int) -> DataFrame:
     """One row per url from ``attempts(url, attempt, html, error)``.
 
     The first attempt without an error within ``max_retries`` wins; later ones
     never happened. ``html`` is null when all failed.
     """
     ok = F.col("error").isNull()
-    allowed = attempts.filter(F.col("attempt") <= max_retries)
-    first_ok = allowed.groupBy("url").agg(
-        F.min(F.when(ok, F.col("attempt"))).alias("ok_attempt"),
-        F.max("attempt").alias("_last"),
-    )
-    outcome = first_ok.select(
+    by_url = Window.partitionBy("url")
+    # The partitioning that numbered the attempts serves this window too.
+    seen = attempts.filter(F.col("attempt") <= max_retries).withColumns({
+        "_ok": F.min(F.when(ok, F.col("attempt"))).over(by_url), "_last": F.max("attempt").over(by_url),
+    })
+    decided = F.coalesce("_ok", "_last")
+    return seen.filter(F.col("attempt") == decided).select(
         "url",
-        F.col("ok_attempt").isNotNull().alias("success"),
-        F.coalesce(F.col("ok_attempt"), F.col("_last")).alias("attempts"),
-        F.coalesce(F.col("ok_attempt") - 1, F.col("_last")).alias("failed_attempts"),
-        "ok_attempt",
+        F.col("_ok").isNotNull().alias("success"),
+        decided.alias("attempts"),
+        F.coalesce(F.col("_ok") - 1, F.col("_last")).alias("failed_attempts"),
+        F.when(ok, F.col("html")).alias("html"),
     )
-    winners = allowed.filter(ok).select("url", F.col("attempt").alias("ok_attempt"), "html")
-    return outcome.join(winners, ["url", "ok_attempt"], "left").drop("ok_attempt")
 
 
 def progress(pages: DataFrame, order: str = "fetch_order") -> DataFrame:
@@ -52,11 +49,13 @@ def progress(pages: DataFrame, order: str = "fetch_order") -> DataFrame:
 def page_limit_cut(pages: DataFrame, order: str = "fetch_order", limit: str = "page_limit") -> DataFrame:
     """The pages a site may still visit: rows before its ``page_limit``-th page with markup.
 
-    Only keys are counted; the pages themselves meet the result by (site, order).
+    The count never falls along the order, so the cut is one number per site: the
+    last admissible order. Only that meets the pages; markup is not shuffled for it.
     """
     visited = F.when(F.coalesce(F.col("html"), F.lit("")) != "", 1).otherwise(0)
     keys = pages.select("site", order, limit, visited.alias("_visited"))
     counted = running_total(
         keys, ["site"], [order], F.expr(f"{order} div {BUCKET_ROWS}"), F.col("_visited"), "_before", inclusive=False
     )
-    return pages.join(counted.filter(F.col("_before") < F.col(limit)), ["site", order], "left_semi")
+    last = counted.filter(F.col("_before") < F.col(limit)).groupBy("site").agg(F.max(order).alias("_cut"))
+    return pages.join(last, "site").filter(F.col(order) <= F.col("_cut")).select(*pages.columns)

@@ -14,19 +14,20 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from pagelake.functions.text import content_hash
 from pagelake.operators.pages import extract, site_links
 from pagelake.operators.skew import (
-    BUCKET_ROWS, bucket_offsets, first_per_group, salted_join, total_in_bucket,
+    BUCKET_ROWS, bucket_offsets, first_per_group, total_in_bucket,
 )
 from pagelake.session import bucketed_table, materialize, new_scratch
 
 KEY = ["site", "url"]
 
 NEW, DUPLICATE, FAILED = "new", "duplicate", "failed"
+NO_LIMIT = (1 << 63) - 1
 
 
 def with_site(pages: DataFrame, sites: DataFrame) -> DataFrame:
     """Pages of known sites with the ``base_url`` of their site."""
     base = sites.select(F.col("name").alias("site"), F.col("url").alias("base_url"))
-    return salted_join(pages, base, ["site"], ["url"], how="inner")
+    return pages.join(base, "site")
 
 
 def first_fetch(pages: DataFrame) -> DataFrame:
@@ -121,7 +122,8 @@ def replay_nodes(
 def _replay(nodes: DataFrame, sites: DataFrame, history: DataFrame | None, scratch: str) -> DataFrame:
     spark = nodes.sparkSession
     config = sites.select(
-        F.col("name").alias("site"), "url", F.col("page_limit").cast("bigint").alias("page_limit")
+        F.col("name").alias("site"), "url",
+        F.coalesce(F.col("page_limit").cast("bigint"), F.lit(NO_LIMIT)).alias("page_limit"),
     )
     hashes = nodes.select(*KEY, "content_hash")
 

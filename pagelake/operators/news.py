@@ -22,8 +22,10 @@ def with_published_ts(articles: DataFrame) -> DataFrame:
     return articles.withColumn("published_ts", published_ts(F.col("publishedAt")))
 
 
-def published_since(articles: DataFrame, as_of: date, days: int = DAYS) -> DataFrame:
-    """Articles of the last ``days`` days, by whole days."""
+def published_since(articles: DataFrame, as_of: date, days: int | None = None) -> DataFrame:
+    """Articles of the last ``days`` days, by whole days; all without ``days``."""
+    if days is None:
+        return articles
     return articles.filter(F.to_date("published_ts") >= F.date_sub(F.lit(as_of), days))
 
 
@@ -44,8 +46,8 @@ def keyword_filter(
     return articles.filter(hit)
 
 
-def newest_first(articles: DataFrame, page_size: int | None = PAGE_SIZE) -> DataFrame:
-    """Latest articles first, at most one request's worth (TakeOrderedAndProject)."""
+def newest_first(articles: DataFrame, page_size: int | None = None) -> DataFrame:
+    """Latest articles first; with ``page_size`` only so many (TakeOrderedAndProject)."""
     ordered = articles.orderBy(F.desc_nulls_last("published_ts"), F.asc("url"))
     return ordered if page_size is None else ordered.limit(page_size)
 
@@ -55,9 +57,9 @@ def search(
     as_of: date,
     terms: Sequence[str] = KEYWORDS,
     columns: Sequence[str] = ("title", "description", "content"),
-    days: int = DAYS,
+    days: int | None = None,
     lang: str = LANGUAGE,
-    page_size: int = PAGE_SIZE,
+    page_size: int | None = None,
 ) -> DataFrame:
     """The request a news service answers, over an article table."""
     return (

@@ -18,20 +18,23 @@ def fetched(pages: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """Adds ``text, links, images, metadata`` to ``pages(url, html, base_url, ...)``.
+    """Adds ``text, links, images, metadata, parse_error`` to ``pages(url, html, base_url, ...)``.
 
     Links are raw here: ``links`` holds every ``a[href]`` in document order
-    with its resolved url. Pages whose markup the parser refuses are dropped.
+    with its resolved url. No fetched page is dropped: ``parse_error`` tells why one was
+    read only in part, and is null otherwise. The explode of one parse keeps it a single
+    evaluation while filters on the page's own columns still reach the scan.
     """
-    parsed = fetched(pages).withColumn(
-        "_page", parse_html(F.col("html"), F.col("url"), F.col("base_url"))
+    parsed = fetched(pages).select(
+        *pages.columns, F.explode(F.array(parse_html(F.col("html"), F.col("url"), F.col("base_url")))).alias("_page")
     )
-    return parsed.filter(F.col("_page").isNotNull()).select(
+    return parsed.select(
         *pages.columns,
         clean_lines(F.col("_page.text")).alias("text"),
         F.col("_page.links").alias("links"),
         F.col("_page.images").alias("images"),
         F.col("_page.metadata").alias("metadata"),
+        F.col("_page.error").alias("parse_error"),
     )
 
 

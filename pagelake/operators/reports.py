@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from pagelake.operators.frontier import DUPLICATE, FAILED
-from pagelake.operators.skew import salted_join
 
 # Urls in one site-map document, the limit of the sitemaps.org protocol.
 SITEMAP_URLS = 50_000
@@ -38,7 +37,7 @@ def sitemap(visited: DataFrame, as_of: datetime | None = None) -> DataFrame:
     if as_of is not None:
         return urls.withColumn("last_updated", F.lit(as_of).cast("timestamp"))
     latest = visited.groupBy("site").agg(F.max("ts").alias("last_updated"))
-    return salted_join(urls, latest, ["site"], ["url"])
+    return urls.join(latest, "site", "left")
 
 
 def sitemap_documents(urls: DataFrame, max_urls: int = SITEMAP_URLS) -> DataFrame:
@@ -48,7 +47,7 @@ def sitemap_documents(urls: DataFrame, max_urls: int = SITEMAP_URLS) -> DataFram
     urls each, so that no row has to hold a whole site.
     """
     sizes = urls.groupBy("site").agg(F.ceil(F.count("url") / F.lit(max_urls)).cast("int").alias("_parts"))
-    parted = salted_join(urls, sizes, ["site"], ["url"]).withColumn(
+    parted = urls.join(sizes, "site", "left").withColumn(
         "part", F.pmod(F.xxhash64("url"), F.col("_parts")).cast("int")
     )
     return parted.groupBy("site", "part").agg(

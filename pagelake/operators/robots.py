@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pagelake.functions.urls import host, path
-from pagelake.operators.skew import salted_join
 
 
 def robots_filter(urls: DataFrame, rules: DataFrame | None = None, url: str = "url") -> DataFrame:
@@ -13,7 +12,7 @@ def robots_filter(urls: DataFrame, rules: DataFrame | None = None, url: str = "u
 
     Passes everything through without rules. A host's rules come from one
     robots file, so they fit in an array; the array is attached to the urls by
-    a salted join, as one host may own a large share of them. An empty
+    a join on the host, which adaptive execution splits where one host owns a large share. An empty
     ``disallow`` forbids nothing.
     """
     if rules is None:
@@ -24,6 +23,6 @@ def robots_filter(urls: DataFrame, rules: DataFrame | None = None, url: str = "u
         .agg(F.collect_set("disallow").alias("_disallow"))
     )
     marked = urls.withColumns({"_host": host(F.col(url)), "_path": path(F.col(url))})
-    joined = salted_join(marked, per_host, ["_host"], [url])
+    joined = marked.join(per_host, "_host", "left")
     blocked = F.exists("_disallow", lambda rule: F.startswith(F.col("_path"), rule))
     return joined.filter(~F.coalesce(blocked, F.lit(False))).drop("_host", "_path", "_disallow")

@@ -12,6 +12,8 @@ from pagelake.schemas import SITE
 
 DEFAULT_PAGE_LIMIT = 100
 DEFAULT_WAIT_TIME = 5
+# Fixed value: the error text of an unknown site.
+NOT_FOUND = "Website configuration not found for "
 
 _FIELDS = ("name", "url", "dynamic", "page_limit", "wait_time")
 
@@ -29,11 +31,14 @@ def site_table(spark: SparkSession, rows: Iterable[Mapping[str, object]]) -> Dat
     return spark.createDataFrame(data, SITE + ", ord INT")
 
 
-def with_defaults(sites: DataFrame) -> DataFrame:
-    """Fills limits and routes a site to the ``static`` or ``dynamic`` crawler kind."""
+def with_defaults(sites: DataFrame, page_limit: int | None = DEFAULT_PAGE_LIMIT) -> DataFrame:
+    """Fills limits and routes a site to the ``static`` or ``dynamic`` crawler kind.
+
+    With ``page_limit=None`` a site without a limit of its own has none.
+    """
     return sites.withColumns({
         "kind": F.when(F.coalesce("dynamic", F.lit(False)), "dynamic").otherwise("static"),
-        "page_limit": F.coalesce("page_limit", F.lit(DEFAULT_PAGE_LIMIT)),
+        "page_limit": F.coalesce("page_limit", F.lit(page_limit).cast("int")),
         "wait_time": F.coalesce("wait_time", F.lit(DEFAULT_WAIT_TIME)),
     })
 
@@ -49,19 +54,19 @@ def first_by_name(sites: DataFrame) -> DataFrame:
     return first_per_group(sites, ["name"], ["ord"])
 
 
-def lookup_sites(requests: DataFrame, sites: DataFrame) -> DataFrame:
+def lookup_sites(requests: DataFrame, sites: DataFrame, page_limit: int | None = DEFAULT_PAGE_LIMIT) -> DataFrame:
     """``requests(name)`` with the config of each name; an unknown name is a failed row.
 
     Both tables are configuration; Catalyst broadcasts the smaller one when its
     size allows and shuffles by name otherwise.
     """
-    config = with_defaults(first_by_name(sites)).withColumn("_known", F.lit(True))
+    config = with_defaults(first_by_name(sites), page_limit).withColumn("_known", F.lit(True))
     found = F.col("_known").isNotNull()
     return (
         requests.join(config, "name", "left")
         .withColumns({
             "success": found,
-            "error": F.when(~found, F.concat(F.lit("Website configuration not found for "), "name")),
+            "error": F.when(~found, F.concat(F.lit(NOT_FOUND), "name")),
         })
         .drop("_known")
     )
@@ -73,7 +78,7 @@ def unknown_sites(requests: DataFrame, sites: DataFrame) -> DataFrame:
     return missing.select(
         "name",
         F.lit(False).alias("success"),
-        F.concat(F.lit("Website configuration not found for "), "name").alias("error"),
+        F.concat(F.lit(NOT_FOUND), "name").alias("error"),
     )
 
 

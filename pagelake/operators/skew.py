@@ -1,4 +1,4 @@
-"""Joins, running totals and top-n that hold when one key owns a third of the rows."""
+"""Running totals and top-n that hold when one key owns a third of the rows."""
 
 from __future__ import annotations
 
@@ -8,30 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Rows that share one value of a running total's bucket go through one task.
 BUCKET_ROWS = 1 << 16
-# Copies of each row of the small side in a salted join.
+# Parts a group is cut in before its rows are ranked.
 SALTS = 32
 
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    spread: Sequence[str],
-    how: str = "left",
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join a table with hot ``on`` keys to a lookup table with one row per key.
-
-    A lookup table below ``spark.sql.autoBroadcastJoinThreshold`` is broadcast
-    by Catalyst or, from measured sizes, by AQE. Beyond it both sides shuffle
-    on key and salt, so a hot key spreads over ``salts`` tasks. ``spread``
-    names left columns that differ between the rows of a key.
-    """
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
-
-
 def bucket_offsets(
     df: DataFrame, keys: Sequence[str], bucket: Column, value: Column, offset: str = "_offset"
 ) -> DataFrame:

@@ -27,7 +27,8 @@ def crawl_sites(
     history: DataFrame | None = None,
 ) -> DataFrame:
     """Replay the crawl of the named sites (default all) over ``pages(site, url,
-    html, fetch_order)`` and write raw, text, summary, sitemap and run tables.
+    html, fetch_order)`` and write raw, text, summary, sitemap and run tables. A site
+    without a page limit is crawled whole.
 
     Returns the run's result rows. Pages are parsed once, into a scratch table
     whose narrow columns feed the replay and whose wide ones feed the records.
@@ -38,7 +39,7 @@ def crawl_sites(
         spark.createDataFrame([(n,) for n in wanted], "name STRING") if wanted
         else sites.select("name").distinct()
     )
-    requested = lookup_sites(requests, sites)
+    requested = lookup_sites(requests, sites, page_limit=None)
     chosen = requested.filter("success")
     scratch = new_scratch(spark, "crawl")
 

@@ -21,7 +21,7 @@ from pagelake.operators import (
 )
 from pagelake.operators.skew import BUCKET_ROWS, running_total
 from pagelake.plans.news import merge_news
-from pagelake.session import configure, new_scratch, spread
+from pagelake.session import configure, new_scratch
 from pagelake.sinks import zones
 from pagelake.sources import datasets, feeds, inventory as inv, logs
 from pagelake.streaming import pages as stream
@@ -63,11 +63,11 @@ def as_pages(raw: DataFrame) -> DataFrame:
 
 
 def load_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_pages(spread(table(spark, sf_dir, "pages")))
+    return as_pages(table(spark, sf_dir, "pages"))
 
 
 def load_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 def hashed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,7 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``site, url, status, ts``: pages whose id has fetch attempts among the events."""
+    """``site, url, status, ts`` of every page; attempts are the events of its id, and a page without any failed."""
     log = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("url"), "ts", "event_id",
         F.when(F.col("event_type") == "error", F.lit("failed")).alias("error"),
@@ -96,8 +96,8 @@ def page_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "pages")
     origin = urls.origin(F.col("url"))
     hashed = raw.select("page_id", origin.alias("site"), "url", F.md5("html").alias("content_hash"))
-    fetched = hashed.join(outcome, "page_id")
-    ok = F.col("success")
+    fetched = hashed.join(outcome, "page_id", "left")
+    ok = F.coalesce("success", F.lit(False))
     # Joined back by page, not by hash: one hash may have very many pages.
     first = fetched.filter(ok).groupBy("site", "content_hash").agg(F.min("page_id").alias("page_id")).select(
         "page_id", F.lit(True).alias("_first")
@@ -527,7 +527,7 @@ def all_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def news_search(spark, sf_dir):
-    found = news.search(document_articles(spark, sf_dir), NEWS_AS_OF, NEWS_TERMS, days=NEWS_DAYS)
+    found = news.search(document_articles(spark, sf_dir), NEWS_AS_OF, NEWS_TERMS, days=NEWS_DAYS, page_size=news.PAGE_SIZE)
     return found.select("url", "ord", "published_ts")
 
 

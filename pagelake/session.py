@@ -15,8 +15,6 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Rows here are costly, so small shuffles still use every core (default 1 MB).
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # Rank limits up to this size are applied before the shuffle (default 1000).
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # Duplicate state of a stream lives on disk, not on the heap.
@@ -35,6 +33,8 @@ def build_session(app_name: str = "pagelake", cores: int | str = "*", **conf: st
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Rows here are costly, so small local shuffles still use every core (default 1 MB).
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -52,14 +52,14 @@ def scratch_root(spark: SparkSession) -> str:
 
     Only a local master may fall back to a folder of this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root and context.master.startswith("local["):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="pagelake-"))
+        root = context.getCheckpointDir()
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="pagelake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return root.rstrip("/")
 
 
 def new_scratch(spark: SparkSession, label: str) -> str:
@@ -82,26 +82,15 @@ def bucketed_table(df: DataFrame, path: str, keys: Sequence[str]) -> Iterator[Da
     """``df`` as a Parquet table bucketed by ``keys``, for joins that repeat.
 
     Each later join on ``keys`` shuffles the other side only. There are as many
-    buckets as shuffle partitions, so rows that a window or aggregate on
-    ``keys`` has just placed are written where they are. The catalog entry goes
+    buckets as shuffle partitions, and rows are placed by bucket before the write, so
+    that there is one file per bucket whatever the input's layout. The catalog entry goes
     at the end; the files stay in the scratch folder.
     """
     spark = df.sparkSession
     name = f"pagelake_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
+    df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
     try:
         yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give every core a share of a table that is stored in too few splits to do so.
-
-    For small tables ahead of costly per-row work. A table with at least as
-    many splits as there are cores, as any large one has, passes unchanged.
-    ``scan`` must be a plain read, so that counting its partitions runs nothing.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagelake.operators import dedup
-from pagelake.operators.skew import first_per_group, running_total, salted_join, top_n_per_group
+from pagelake.operators.skew import first_per_group, running_total, top_n_per_group
 
 
 @pytest.fixture(scope="module")
@@ -105,18 +105,3 @@ def test_top_n_and_first(spark, rows):
         assert [r.fetch_order for r in mine] == want and [r.r for r in mine] == list(range(1, 8))
     firsts = first_per_group(df, ["site"], ["fetch_order"])
     assert {tuple(r) for r in firsts.collect()} == first_of(rows, lambda r: r[0])
-
-
-@pytest.mark.parametrize("threshold", ["10485760", "-1"])
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join(spark, rows, threshold, how):
-    lookup = spark.createDataFrame([("s0", 10), ("s1", 11)], "site STRING, v INT")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        df = frame(spark, rows)
-        got = salted_join(df, lookup, ["site"], ["fetch_order"], how)
-        assert got.exceptAll(df.join(lookup, "site", how)).isEmpty()
-        assert got.count() == df.join(lookup, "site", how).count()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

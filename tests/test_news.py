@@ -13,29 +13,29 @@ from pagelake.sources.datasets import read_zone
 API = {
     "source": "newsapi", "status": "ok", "totalResults": 2,
     "articles": [
-        {"source": {"id": f"source{i}", "name": f"Source {i}"}, "author": f"Author {i}", "title": f"Title {i}",
-         "description": f"Description {i}", "url": f"https://example.com/news/{i}",
-         "publishedAt": f"2023-01-0{i}T00:00:00Z"}
-        for i in (1, 2)
+        {"source": {"id": "tide", "name": "Tide Daily"}, "author": "M. Quay", "title": "Ice leaves the bay",
+         "description": "Ports open early", "url": "https://tide.example/ice", "publishedAt": "2024-03-05T06:30:00Z"},
+        {"source": {"id": None, "name": "Hill Post"}, "author": None, "title": "Snow on the pass",
+         "description": "Lorries wait", "url": "https://hill.example/snow", "publishedAt": "2024-03-07T00:00:00Z"},
     ],
 }
-FAILED = {"source": "newsapi", "query": "test query", "error": "API Error", "articles": []}
+FAILED = {"source": "newsapi", "query": "barges", "error": "timed out", "articles": []}
 RSS = """<?xml version="1.0"?><rss version="2.0"><channel>
-<title>Test RSS Feed</title><link>https://example.com/rss</link>
-<item><title>RSS Title 1</title><description>RSS Description 1</description><link>https://example.com/rss/1</link>
-<pubDate>Tue, 01 Jan 2023 00:00:00 GMT</pubDate></item>
-<item><title>RSS Title 2</title><description>D2</description><content>C2</content><link>https://example.com/rss/2</link>
-<pubDate>Wed, 02 Jan 2023 00:00:00 GMT</pubDate></item>
-<item><link>https://example.com/rss/3</link></item>
+<title>Canal Notes</title><link>https://canal.example/feed</link>
+<item><title>Lock closed</title><description>Repairs until May</description><link>https://canal.example/lock</link>
+<pubDate>Mon, 11 Mar 2024 09:15:00 GMT</pubDate></item>
+<item><title>Barge race</title><description>short</description><content>The long report</content><link>https://canal.example/race</link>
+<pubDate>Sat, 16 Mar 2024 18:00:00 GMT</pubDate></item>
+<item><link>https://canal.example/untitled</link></item>
 </channel></rss>"""
 
 
 def test_api_envelopes(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(API) + "\n" + json.dumps(FAILED) + "\n" + '{"source": "newsapi"}\n')
     articles = feeds.api_articles(feeds.read_envelopes(spark, str(tmp_path))).orderBy("ord").collect()
-    assert [a.title for a in articles] == ["Title 1", "Title 2"]
-    assert [a.published_ts for a in articles] == [datetime(2023, 1, 1), datetime(2023, 1, 2)]
-    assert articles[0].source.name == "Source 1" and articles[0].origin == "newsapi"
+    assert [a.title for a in articles] == ["Ice leaves the bay", "Snow on the pass"]
+    assert [a.published_ts for a in articles] == [datetime(2024, 3, 5, 6, 30), datetime(2024, 3, 7)]
+    assert articles[0].source.name == "Tide Daily" and articles[0].origin == "newsapi"
 
 
 def test_array_files(spark, tmp_path):
@@ -46,24 +46,24 @@ def test_array_files(spark, tmp_path):
 def test_rss(spark, tmp_path):
     (tmp_path / "f.xml").write_text(RSS)
     rows = feeds.rss_articles(feeds.read_rss(spark, str(tmp_path))).orderBy("ord").collect()
-    assert [r.title for r in rows] == ["RSS Title 1", "RSS Title 2", ""]
-    assert [r.content for r in rows] == ["RSS Description 1", "C2", ""]
-    assert rows[0].published_ts == datetime(2023, 1, 1) and rows[2].published_ts is None
-    assert (rows[0].source.name, rows[0].source.url) == ("Test RSS Feed", "https://example.com/rss")
+    assert [r.title for r in rows] == ["Lock closed", "Barge race", ""]
+    assert [r.content for r in rows] == ["Repairs until May", "The long report", ""]
+    assert rows[0].published_ts == datetime(2024, 3, 11, 9, 15) and rows[2].published_ts is None
+    assert (rows[0].source.name, rows[0].source.url) == ("Canal Notes", "https://canal.example/feed")
     assert rows[0].feed_url.endswith("f.xml") and rows[2].description == ""
 
 
 def article_rows(spark):
     rows = [
-        ("newsapi", None, None, 0, 0, "https://example.com/news/1"),
-        ("newsapi", None, None, 0, 1, "https://example.com/news/2"),
-        ("rss", "f1", None, 1, 0, "https://example.com/rss/1"),
-        ("rss", "f2", None, 2, 0, "https://example.com/rss/2"),
-        ("rss", "f3", None, 3, 0, "https://example.com/rss/3"),
-        ("rss", "f3", None, 3, 1, "https://example.com/news/1"),
+        ("newsapi", None, None, 0, 0, "https://tide.example/ice"),
+        ("newsapi", None, None, 0, 1, "https://hill.example/snow"),
+        ("rss", "f1", None, 1, 0, "https://canal.example/1"),
+        ("rss", "f2", None, 2, 0, "https://canal.example/2"),
+        ("rss", "f3", None, 3, 0, "https://canal.example/3"),
+        ("rss", "f3", None, 3, 1, "https://tide.example/ice"),
         ("rss", "f3", None, 3, 2, ""),
         ("rss", "f3", None, 3, 3, None),
-        ("rss", "f4", "RSS Error", 4, 0, "https://example.com/rss/9"),
+        ("rss", "f4", "no answer", 4, 0, "https://canal.example/9"),
     ]
     return spark.createDataFrame(
         rows, "origin STRING, feed_url STRING, error STRING, source_ord INT, ord INT, url STRING"
@@ -98,7 +98,7 @@ def test_news_run(spark, tmp_path):
     ("2023-01-01T00:00:00Z", datetime(2023, 1, 1)),
     ("2023-01-01T02:00:00+02:00", datetime(2023, 1, 1)),
     ("2023-01-01", datetime(2023, 1, 1)),
-    ("Tue, 01 Jan 2023 00:00:00 GMT", datetime(2023, 1, 1)),
+    ("Mon, 11 Mar 2024 09:15:00 GMT", datetime(2024, 3, 11, 9, 15)),
     ("1 Jan 2023 05:30:00 +0530", datetime(2023, 1, 1)),
     ("Sun, 1 Jan 2023 00:00 GMT", datetime(2023, 1, 1)),
     ("yesterday", None), ("", None), (None, None),
@@ -120,7 +120,7 @@ def test_search(spark):
     articles = spark.createDataFrame(rows, "url STRING, title STRING, content STRING, lang STRING, publishedAt STRING")
     articles = articles.transform(news.with_published_ts)
     def found(**options):
-        return [r.url for r in news.search(articles, date(2023, 1, 10), columns=["title", "content"], **options).collect()]
+        return [r.url for r in news.search(articles, date(2023, 1, 10), columns=["title", "content"], **{"days": 1, **options}).collect()]
 
     assert found() == ["u1", "u6", "u2"]
     assert found(page_size=2) == ["u1", "u6"]

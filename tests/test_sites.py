@@ -8,9 +8,9 @@ URL = "https://example.com"
 
 def config(spark):
     return st.site_table(spark, [
-        {"name": "test_static", "url": URL, "dynamic": False, "page_limit": 10},
-        {"name": "test_dynamic", "url": URL, "dynamic": True, "page_limit": 10, "wait_time": 2},
-        {"name": "plain", "url": URL, "custom_field1": "value1"},
+        {"name": "harbour", "url": URL, "dynamic": False, "page_limit": 10},
+        {"name": "market", "url": URL, "dynamic": True, "page_limit": 10, "wait_time": 2},
+        {"name": "plain", "url": URL, "region": "north"},
         {"name": "plain", "url": "https://second.example"},
     ])
 
@@ -18,10 +18,10 @@ def config(spark):
 def test_routing_and_defaults(spark):
     rows = {(r.name, r.url): r for r in st.with_defaults(config(spark)).collect()}
     kind = {k: (r.kind, r.page_limit, r.wait_time) for k, r in rows.items()}
-    assert kind["test_static", URL] == ("static", 10, 5)
-    assert kind["test_dynamic", URL] == ("dynamic", 10, 2)
+    assert kind["harbour", URL] == ("static", 10, 5)
+    assert kind["market", URL] == ("dynamic", 10, 2)
     assert kind["plain", URL] == ("static", 100, 5)
-    assert rows["plain", URL].extra == {"custom_field1": "value1"}
+    assert rows["plain", URL].extra == {"region": "north"}
 
 
 def test_selection(spark):
