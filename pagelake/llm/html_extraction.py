@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))*+)>""")
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _WORD = re.compile(r"[a-z]+")
+# References to numbers beyond any code point; so long a number doesn't parse.
+_BEYOND = re.compile(r"&#(?:[xX][0-9a-fA-F]{9,}|[0-9]{9,});?")
 _SPACE = re.compile(r"\s+")
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "noembed", "noframes", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -233,7 +235,7 @@ def extract_text(source: str | None) -> str:
             if not blocks or blocks[-1][0] != block:
                 blocks.append((block, []))
             blocks[-1][1].append(text)
-    found = (_SPACE.sub(" ", entities.unescape("".join(parts))).strip() for _, parts in blocks)
+    found = (_SPACE.sub(" ", entities.unescape(_BEYOND.sub("\ufffd", "".join(parts)))).strip() for _, parts in blocks)
     return " ".join(t for t in found if t)
 
 
