@@ -135,7 +135,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "line-runs",
     )
     edge = marked.filter("edge")
-    total = edge.groupBy("h1", "h2").agg(F.sum(F.col("first").cast("long")).alias("docs"), F.max("doc").alias("top"))
+    # Two rows per partition at most; written, its size is known and Catalyst need not deal the edge rows by hash.
+    total = written(edge.groupBy("h1", "h2").agg(F.sum(F.col("first").cast("long")).alias("docs"), F.max("doc").alias("top")), "line-edges")
     cut = edge.join(total.filter(F.col("docs") >= min_docs), ["h1", "h2"]).filter(~F.col("doc").eqNullSafe(F.col("top")))
     gone = marked.filter("NOT edge").select("k1", "k2", "n_lines", "pos").union(cut.select("k1", "k2", "n_lines", "pos"))
     return (
