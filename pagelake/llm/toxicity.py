@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagelake.llm.common import written
+
 # Model size and what it is fitted on: at most so many labelled rows of each class, the least by hash of their id.
 BUCKETS = 1 << 18
 FACTORS = 6
@@ -61,29 +63,37 @@ class Model:
         return self.b + total[..., 0] + 0.5 * ((total[..., 1:-1] ** 2).sum(-1) - total[..., -1])
 
 
-def telling(samples: list[tuple[np.ndarray, int]], y: np.ndarray, least: float = MIN_Z) -> np.ndarray:
-    """The buckets whose share of texts differs between the classes by ``least`` standard errors."""
-    seen = [np.zeros(BUCKETS), np.zeros(BUCKETS)]
-    for flat, label in samples:
-        seen[label][np.unique(flat)] += 1
-    n0, n1 = max((y == 0).sum(), 1), max((y == 1).sum(), 1)
-    p = (seen[0] + seen[1]) / (n0 + n1)
-    z = (seen[1] / n1 - seen[0] / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n0 + 1 / n1))
-    return np.flatnonzero((np.abs(z) >= least) & (seen[0] + seen[1] >= MIN_TEXTS))
+def telling(taken: DataFrame, least: float = MIN_Z) -> list[int]:
+    """The buckets whose share of texts differs between the classes by ``least`` standard errors; none if a class is missing."""
+    n = {r.toxic: r.n for r in taken.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if len(n) < 2:
+        return []
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((2, BUCKETS), np.int64)
+        for batch in batches:
+            for ids, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen[label][np.unique(np.frombuffer(ids, "<i4"))] += 1
+        found = np.flatnonzero(seen.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(seen[0][found]), pa.array(seen[1][found])], ["bucket", "c0", "c1"])
 
+    counts = taken.select("ids", "toxic").mapInArrow(counted, "bucket long, c0 long, c1 long").groupBy("bucket").agg(
+        F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    p = (F.col("c0") + F.col("c1")) / F.lit(n[0] + n[1])
+    error = F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * F.lit(1 / n[0] + 1 / n[1]))
+    apart = F.abs(F.col("c1") / F.lit(n[1]) - F.col("c0") / F.lit(n[0])) / error
+    return sorted(r.bucket for r in counts.filter((F.col("c0") + F.col("c1") >= MIN_TEXTS) & (apart >= least)).select("bucket").collect())
 
-def fit(samples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, rate: float = 0.2, decay: float = 1e-3, seed: int = 7) -> Model:
-    """Adagrad on the logistic loss over the telling buckets, classes weighed alike. ``samples``: (term ids, 0 or 1)."""
+
+def fit(samples: list[tuple[np.ndarray, int]], chosen: list[int], epochs: int = EPOCHS, rate: float = 0.2, decay: float = 1e-3, seed: int = 7) -> Model:
+    """Adagrad on the logistic loss over the buckets ``chosen``, classes weighed alike. ``samples``: (places in ``chosen``, 0 or 1)."""
     rng = np.random.default_rng(seed)
     w, v = np.zeros(BUCKETS), np.zeros((BUCKETS, FACTORS))
     y = np.array([s[1] for s in samples], float)
     if len(set(y.tolist())) < 2:
         share = (y.sum() + 1) / (len(y) + 2)
         return Model(float(np.log(share / (1 - share))), w, v)
-    chosen = telling(samples, y)
-    place = np.full(BUCKETS, -1)
-    place[chosen] = np.arange(len(chosen))
-    rows = [(p := place[flat])[p >= 0] for flat, _ in samples]
+    rows = [flat for flat, _ in samples]
     n, lengths = len(chosen), np.array([len(r) for r in rows])
     a, e, b = np.zeros(n), rng.normal(0, 0.01, (n, FACTORS)), 0.0
     ga, ge, gb = np.full(n, 1e-3), np.full((n, FACTORS), 1e-3), 1e-3
@@ -109,8 +119,12 @@ def fit(samples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, rate: float
     return Model(float(b), w, v)
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> list[tuple[np.ndarray, int]]:
-    """Term ids and label of the rows to learn from. Their number is bounded by the parameter, their size by the buckets."""
+def sample(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> tuple[list[tuple[np.ndarray, int]], list[int]]:
+    """The rows to learn from, as (places of their telling terms, label), and the telling buckets.
+
+    Their number is bounded by the parameter. Executors count the terms, and only the
+    telling ones reach the driver.
+    """
     known = labels.filter(F.col("toxic").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = known.filter("toxic = 1").orderBy(*order).limit(rows_per_class).union(known.filter("toxic = 0").orderBy(*order).limit(rows_per_class))
@@ -124,9 +138,20 @@ def sample(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CL
                 ids.append((flat if len(flat) <= BUCKETS else np.unique(flat)).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), batch.column(1), batch.column(2)], ["ids", "toxic", "doc_id"])
 
-    taken = docs.select("doc_id", "text").join(ids, "doc_id").select("text", "toxic", "doc_id").mapInArrow(run, "ids binary, toxic int, doc_id long").collect()
-    taken.sort(key=lambda r: (r.doc_id, bytes(r.ids)))
-    return [(np.frombuffer(bytes(r.ids), "<i4"), r.toxic) for r in taken]
+    taken = written(docs.select("doc_id", "text").join(ids, "doc_id").select("text", "toxic", "doc_id").mapInArrow(
+        run, "ids binary, toxic int, doc_id long"), "toxicity-sample")
+    chosen = telling(taken)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(BUCKETS, -1, "<i4")
+        place[chosen] = np.arange(len(chosen))
+        for batch in batches:
+            found = [(p := place[np.frombuffer(x, "<i4")])[p >= 0].tobytes() for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1), batch.column(2)], ["ids", "toxic", "doc_id"])
+
+    rows = taken.mapInArrow(placed, "ids binary, toxic int, doc_id long").collect()
+    rows.sort(key=lambda r: (r.doc_id, bytes(r.ids)))
+    return [(np.frombuffer(bytes(r.ids), "<i4"), r.toxic) for r in rows], chosen
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -170,7 +195,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_
 
     Rows without label are scored like any other. With no label of either class the score is the labelled share of 1.
     """
-    model = fit(sample(docs, labels, rows_per_class))
+    model = fit(*sample(docs, labels, rows_per_class))
     return score(docs, model).select(
         "doc_id", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
