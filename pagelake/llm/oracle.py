@@ -112,4 +112,79 @@ FROM f JOIN cut cs ON cs.lang = f.lang AND cs.source = f.source AND cs.measure =
        JOIN cut cd ON cd.lang = f.lang AND cd.source = f.source AND cd.measure = 'd'
 """
 
-ORACLE = {"op2_substring_dedup": op2, "op3_line_dedup": op3, "op5_source_mixing": op5, "op10_quality_rules": op10}
+UNIT = "[A-Za-z]+|[^A-Za-z]"
+
+op11 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{UNIT}') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents
+), h AS (
+  SELECT doc_id, t, u, len(u)::BIGINT AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2,
+         ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h
+), p AS (
+  SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:n], '') AS suf FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+# Formatted lengths: the text with one backslash more per control string, and what the template adds to each role.
+op12 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e AS (
+  SELECT *, len(regexp_extract_all(text, '<\\*/?s>|\[\\*/?(?:INST|ROLE)\]|<\\*</?SYS>>')) AS hits,
+         len(regexp_extract_all(role, '<\\*/?s>|\[\\*/?(?:INST|ROLE)\]|<\\*</?SYS>>')) AS role_hits FROM c
+), m AS (
+  SELECT *, length(text) + hits + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 5 WHEN 'system' THEN 22
+         ELSE 21 + length(role) + role_hits END AS chars FROM e
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
+FROM m GROUP BY conv_id
+"""
+
+op13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), t AS (
+  SELECT r, lang, source, term, count(*) AS n FROM (
+    SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+  ) GROUP BY ALL
+), kept AS (
+  SELECT lang, term FROM t GROUP BY ALL HAVING count(*) >= 30
+), v AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), k AS (
+  SELECT g.lang, g.source, kept.term, coalesce(n, 0)::HUGEINT AS n, v FROM g JOIN kept USING (lang) JOIN v USING (lang)
+  LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM t GROUP BY ALL) s ON s.lang = g.lang AND s.source = g.source AND s.term = kept.term
+), p AS (
+  SELECT lang, source, term, n, 1 + 1000000000 * (n + 5) // (sum(n) OVER (PARTITION BY lang, source)::HUGEINT + 5 * v) AS p FROM k
+), l AS (
+  SELECT lang, term, 1 + 1000000000 * (n + 5) // (sum(n) OVER (PARTITION BY lang)::HUGEINT + 5 * v) AS q
+  FROM (SELECT lang, term, sum(n)::HUGEINT AS n, any_value(v) AS v FROM k GROUP BY lang, term)
+), f AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT a.lang, a.source AS s, b.source AS o, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+  ) x ON x.lang = a.lang AND x.s = a.source AND x.o = b.source
+  UNION ALL
+  SELECT p.lang, source, 'term', term, p - q FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f) WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLE = {
+    "op2_substring_dedup": op2, "op3_line_dedup": op3, "op5_source_mixing": op5, "op10_quality_rules": op10,
+    "op11_fill_in_middle": op11, "op12_chat_format": op12, "op13_divergence_audit": op13,
+}
