@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pagelake.functions.bloom import bits_for, bloom_words, might_hold
 from pagelake.functions.text import WORD_CHAR
 
 # Label -> pattern; callers may pass their own. The e-mail name may only start at
@@ -52,25 +53,25 @@ def gazetteer_mentions(
     """Phrases of ``gazetteer(phrase, label)`` found in the texts, any case.
 
     Phrases are lower-case words with single spaces, one row per phrase and
-    label. Every run of as many words as ``word_counts`` says is looked up.
+    label. Every run of as many words as ``word_counts`` says is tested in the row against a Bloom filter of the phrases, of bounded
+    size; only what it may hold leaves the scan and joins the gazetteer. ``text`` and ``keys`` are not null.
     """
     words = F.regexp_extract_all(F.col(text), F.lit(f"[{WORD_CHAR}]+"), F.lit(0))
+    bits = bits_for(gazetteer.count())
+    known = bloom_words(gazetteer, ["phrase"], bits)
+
     def run_at(i: Column, n: int) -> Column:
         # Null where fewer than n words are left.
-        return F.when(
-            i + n <= F.size("_words"), F.array_join(F.slice("_words", i + 1, F.lit(n)), " ")
-        )
+        return F.when(i + n <= F.size("_words"), F.array_join(F.slice("_words", i + 1, F.lit(n)), " "))
 
     starts = df.select(*keys, words.alias("_words")).select(
         *keys,
-        F.posexplode(
-            F.transform("_words", lambda _, i: F.array(*(run_at(i, n) for n in word_counts)))
-        ).alias("pos", "_runs"),
+        F.posexplode(F.transform("_words", lambda _, i: F.array(*(run_at(i, n) for n in word_counts)))).alias("pos", "_runs"),
     )
     candidates = (
         starts.select(*keys, "pos", F.explode("_runs").alias("mention"))
-        .filter(F.col("mention").isNotNull())
         .withColumn("phrase", F.lower("mention"))
+        .filter(F.col("mention").isNotNull() & might_hold(known, [F.col("phrase")], bits))
     )
     found = candidates.join(gazetteer.select("phrase", "label"), "phrase")
     return found.select(*keys, "label", F.lit(1).alias("source"), "pos", "mention")

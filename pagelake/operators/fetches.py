@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pagelake.operators.skew import BUCKET_ROWS, running_total
+from pagelake.operators.skew import running_total
 
 
 def number_attempts(log: DataFrame, max_retries: int, order: list[str | Column]) -> DataFrame:
@@ -40,10 +40,13 @@ def fetch_outcome(attempts: DataFrame, max_retries: int) -> DataFrame:
 
 
 def progress(pages: DataFrame, order: str = "fetch_order") -> DataFrame:
-    """Pages processed so far within the site; ``order`` is an integer, unique in a site."""
-    return running_total(
-        pages, ["site"], [order], F.expr(f"{order} div {BUCKET_ROWS}"), F.lit(1), "pages_processed"
-    )
+    """Pages processed so far within the site; ``order`` is unique in a site, of any type and spacing.
+
+    Only the site and the order are counted; other columns join the count by both.
+    """
+    keys = ["site", order]
+    counted = running_total(pages.select(*keys), ["site"], [order], F.lit(1), "pages_processed")
+    return counted if set(pages.columns) == set(keys) else pages.join(counted, keys)
 
 
 def page_limit_cut(pages: DataFrame, order: str = "fetch_order", limit: str = "page_limit") -> DataFrame:
@@ -54,8 +57,6 @@ def page_limit_cut(pages: DataFrame, order: str = "fetch_order", limit: str = "p
     """
     visited = F.when(F.coalesce(F.col("html"), F.lit("")) != "", 1).otherwise(0)
     keys = pages.select("site", order, limit, visited.alias("_visited"))
-    counted = running_total(
-        keys, ["site"], [order], F.expr(f"{order} div {BUCKET_ROWS}"), F.col("_visited"), "_before", inclusive=False
-    )
+    counted = running_total(keys, ["site"], [order], F.col("_visited"), "_before", inclusive=False)
     last = counted.filter(F.col("_before") < F.col(limit)).groupBy("site").agg(F.max(order).alias("_cut"))
     return pages.join(last, "site").filter(F.col(order) <= F.col("_cut")).select(*pages.columns)

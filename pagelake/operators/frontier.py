@@ -1,10 +1,11 @@
 """Breadth-first crawl replay over a snapshot of fetched pages.
 
-All sites advance together, one level per step. A level is three joins on
-(site, url), unique on both sides, plus one running total per site computed in
-buckets, so neither a large site nor a page everybody links to lands in one
-task. The HTML is parsed once into a narrow node table before the first level;
-levels read and write narrow tables in the shared scratch folder.
+All sites advance together, one level per step. The HTML is parsed once into a narrow node table before the
+first level. What the crawl knows is kept in tables that every level appends to: urls attempted, bucketed by
+(site, url) as the nodes are, and hashes emitted, bucketed by (site, content_hash). So a level shuffles its
+own urls and hashes only, and they meet nodes and history bucket by bucket; pages visited per site are carried
+on from level to level. The running total per site goes by ranges of the level's rows, so neither a large site
+nor a page everybody links to lands in one task.
 """
 
 from __future__ import annotations
@@ -13,10 +14,8 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from pagelake.functions.text import content_hash
 from pagelake.operators.pages import extract, site_links
-from pagelake.operators.skew import (
-    BUCKET_ROWS, bucket_offsets, first_per_group, total_in_bucket,
-)
-from pagelake.session import bucketed_table, materialize, new_scratch
+from pagelake.operators.skew import first_per_group, in_ranges, range_offsets, total_in_range
+from pagelake.session import BucketedTable, bucketed_table, materialize, new_scratch
 
 KEY = ["site", "url"]
 
@@ -59,27 +58,27 @@ def next_frontier(expanded: DataFrame, seen: DataFrame) -> DataFrame:
     return first.join(seen.select(*KEY), KEY, "left_anti")
 
 
-def _attempt_level(frontier: DataFrame, limits: DataFrame) -> DataFrame:
+def _attempt_level(level: DataFrame, limits: DataFrame) -> DataFrame:
     """Cut the level at each site's page limit and number the visited pages.
 
-    ``frontier(site, url, parent, pos, content_hash)`` in order (parent, pos);
+    ``level(site, url, parent, pos, content_hash, …)`` as from ``in_ranges`` by (parent, pos);
     ``content_hash`` is null for a failed fetch. ``limits(site, visited,
     page_limit)``. Adds ``visit_order``, null for failures.
     """
     fetched = F.when(F.col("content_hash").isNotNull(), 1).otherwise(0)
-    bucket = F.expr(f"parent div {BUCKET_ROWS}")
-    # The site's numbers join the few bucket rows, not the urls.
-    starts = bucket_offsets(frontier, ["site"], bucket, fetched).join(limits, "site")
+    # The site's numbers join the few rows of ranges, not the urls.
+    starts = range_offsets(level, ["site"], fetched).join(limits, "site")
     at = F.col("visited") + F.col("_offset") + F.col("_before")
+    columns = [c for c in level.columns if c != "_part"]
     return (
-        total_in_bucket(frontier, ["site"], ["parent", "pos"], bucket, fetched, "_before", inclusive=False)
-        .join(starts, ["site", "_bucket"])
+        total_in_range(level, ["site"], ["parent", "pos"], fetched, "_before", inclusive=False)
+        .join(starts, ["site", "_part"])
         .filter(at < F.col("page_limit"))
-        .select(*frontier.columns, F.when(F.col("content_hash").isNotNull(), at + 1).alias("visit_order"))
+        .select(*columns, F.when(F.col("content_hash").isNotNull(), at + 1).alias("visit_order"))
     )
 
 
-def _with_status(attempted: DataFrame, known: DataFrame) -> DataFrame:
+def _with_status(attempted: DataFrame, known: DataFrame | None) -> DataFrame:
     """``new`` for the first page of a hash no earlier page had, else ``duplicate`` or ``failed``.
 
     The copies of a hash collapse to their first page before hashes are
@@ -88,7 +87,7 @@ def _with_status(attempted: DataFrame, known: DataFrame) -> DataFrame:
     first = (
         attempted.filter(F.col("content_hash").isNotNull())
         .groupBy("site", "content_hash").agg(F.min("visit_order").alias("visit_order"))
-        .join(known.select("site", "content_hash"), ["site", "content_hash"], "left_anti")
+        .transform(lambda df: df if known is None else df.join(known, ["site", "content_hash"], "left_anti"))
         .select("site", F.col("visit_order").alias("_key"), F.lit(True).alias("_new"))
     )
     # Failures have no visit order; negative keys, which match nothing, spread them.
@@ -115,53 +114,62 @@ def replay_nodes(
     expanded; a site stops at its page limit.
     """
     scratch = scratch or new_scratch(nodes.sparkSession, "crawl")
-    with bucketed_table(nodes, f"{scratch}/nodes", KEY) as table:
-        return _replay(table, sites, history, scratch)
+    with bucketed_table(nodes.select(*KEY, "content_hash", "links"), f"{scratch}/nodes", KEY) as table:
+        return replay_table(table, sites, history, scratch)
 
 
-def _replay(nodes: DataFrame, sites: DataFrame, history: DataFrame | None, scratch: str) -> DataFrame:
+def replay_table(
+    nodes: DataFrame, sites: DataFrame, history: DataFrame | None = None, scratch: str | None = None
+) -> DataFrame:
+    """``replay_nodes`` over columns of a table that is bucketed by (site, url) already."""
+    spark = nodes.sparkSession
+    scratch = scratch or new_scratch(spark, "crawl")
+    with (
+        BucketedTable(spark, f"{scratch}/seen", KEY) as seen,
+        BucketedTable(spark, f"{scratch}/hashes", ["site", "content_hash"]) as hashes,
+    ):
+        if history is not None:
+            hashes.append(history.select("site", "content_hash").filter("content_hash IS NOT NULL").distinct())
+        _replay(nodes, sites, seen, hashes, scratch)
+    narrow = "site STRING, url STRING, parent BIGINT, pos INT, content_hash STRING, visit_order BIGINT, status STRING, depth INT"
+    return spark.read.schema(narrow).parquet(f"{scratch}/attempts")
+
+
+def _replay(nodes: DataFrame, sites: DataFrame, seen: BucketedTable, hashes: BucketedTable, scratch: str) -> None:
+    """Writes the attempts of every level to ``scratch/attempts/depth=…``."""
     spark = nodes.sparkSession
-    config = sites.select(
-        F.col("name").alias("site"), "url",
+    limits = materialize(sites.select(
+        F.col("name").alias("site"), F.lit(0).cast("bigint").alias("visited"),
         F.coalesce(F.col("page_limit").cast("bigint"), F.lit(NO_LIMIT)).alias("page_limit"),
-    )
-    hashes = nodes.select(*KEY, "content_hash")
-
-    frontier = config.select(*KEY, F.lit(0).cast("bigint").alias("parent"), F.lit(0).alias("pos"))
-    done = None
+    ), f"{scratch}/limits/0")
+    frontier = sites.select(F.col("name").alias("site"), "url", F.lit(0).cast("bigint").alias("parent"), F.lit(0).alias("pos"))
+    known = nodes.select(*KEY, "content_hash", "links")
     depth = 0
     while True:
-        seen_rows = Observation()
-        level = materialize(
-            frontier.join(hashes, KEY, "left").observe(seen_rows, F.count(F.lit(1)).alias("rows")),
-            f"{scratch}/frontier/{depth}",
+        rows = Observation()
+        level = in_ranges(
+            frontier.join(known, KEY, "left"), ["site"], ["parent", "pos"], f"{scratch}/frontier/{depth}", rows
+        )
+        if not rows.get["rows"]:
+            if not depth:
+                _no_attempts(level).write.parquet(f"{scratch}/attempts/depth=0")
+            return
+        # Links stay in their own column of the level's table; what reads the attempts leaves them alone.
+        attempted = materialize(
+            _with_status(_attempt_level(level, limits), hashes.read()), f"{scratch}/attempts/depth={depth}"
         )
-        if not seen_rows.get["rows"]:
-            return done if done is not None else _no_attempts(level)
-        if done is None:
-            limits = config.select("site", F.lit(0).cast("bigint").alias("visited"), "page_limit")
-            known = history
-        else:
-            visited = done.filter(F.col("status") != FAILED).groupBy("site").agg(F.count("url").alias("visited"))
-            limits = config.join(visited, "site", "left").select(
-                "site", F.coalesce("visited", F.lit(0)).alias("visited"), "page_limit"
-            ).filter(F.col("visited") < F.col("page_limit"))
-            emitted = done.filter(F.col("status") == NEW).select("site", "content_hash")
-            known = emitted if history is None else emitted.unionByName(history.select("site", "content_hash"))
-        if known is None:
-            known = hashes.select("site", "content_hash").filter(F.lit(False))
-        attempted = _with_status(_attempt_level(level, limits), known)
-        materialize(attempted, f"{scratch}/attempts/depth={depth}")
-        done = spark.read.schema(
-            "site STRING, url STRING, parent BIGINT, pos INT, content_hash STRING, "
-            "visit_order BIGINT, status STRING, depth INT"
-        ).parquet(f"{scratch}/attempts")
-        expanded = (
-            done.filter((F.col("depth") == depth) & (F.col("status") == NEW))
-            .select(*KEY, F.col("visit_order").alias("parent"))
-            .join(nodes.select(*KEY, "links"), KEY)
+        emitted = attempted.filter(F.col("status") == NEW)
+        seen.append(attempted.select(*KEY))
+        hashes.append(emitted.select("site", "content_hash"))
+        visited = attempted.filter(F.col("status") != FAILED).groupBy("site").agg(F.count("url").alias("_more"))
+        limits = materialize(
+            limits.join(visited, "site", "left")
+            .select("site", (F.col("visited") + F.coalesce("_more", F.lit(0))).alias("visited"), "page_limit")
+            .filter(F.col("visited") < F.col("page_limit")),
+            f"{scratch}/limits/{depth + 1}",
         )
-        frontier = next_frontier(expanded, done)
+        expanded = emitted.select("site", F.col("visit_order").alias("parent"), "links").join(limits.select("site"), "site")
+        frontier = next_frontier(expanded, seen.read())
         depth += 1
 
 
@@ -169,7 +177,6 @@ def _no_attempts(level: DataFrame) -> DataFrame:
     return level.select(
         *KEY, "parent", "pos", "content_hash",
         F.lit(None).cast("bigint").alias("visit_order"), F.lit(None).cast("string").alias("status"),
-        F.lit(0).alias("depth"),
     )
 
 

@@ -55,6 +55,22 @@ def logger_summary(op_log: DataFrame, mem_log: DataFrame, error_log: DataFrame)
     )
 
 
+def metrics(op_log: DataFrame, mem_log: DataFrame, error_log: DataFrame) -> DataFrame:
+    """``logger, operation, metric, value``: the statistics of all three logs as one long table.
+
+    ``operation`` is null for the figures of a logger as a whole.
+    """
+    whole = F.lit(None).cast("string").alias("operation")
+    counted = operation_stats(op_log).withColumn("count", F.col("count").cast("double"))
+    summary = logger_summary(op_log, mem_log, error_log).select("logger", F.coalesce("error_count", F.lit(0)).cast("double").alias("error_count"), "total_duration")
+    parts = [
+        counted.unpivot(["logger", "operation"], ["avg", "min", "max", "count"], "metric", "value"),
+        memory_stats(mem_log).unpivot(["logger"], ["avg_rss", "max_rss", "min_rss"], "metric", "value").select("logger", whole, "metric", "value"),
+        summary.unpivot(["logger"], ["error_count", "total_duration"], "metric", "value").select("logger", whole, "metric", "value"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def alerts(errors: DataFrame) -> DataFrame:
     """``source, subject, body`` of the errors that are critical or fatal, in any case."""
     message = F.lower("error")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pagelake.operators.skew import first_per_group
 from pagelake.schemas import SITE
@@ -83,23 +83,49 @@ def unknown_sites(requests: DataFrame, sites: DataFrame) -> DataFrame:
 
 
 class Extractors:
-    """Per-site extractors: a site's own DataFrame function in place of the default.
+    """Per-site extractors on top of a default one.
 
-    An extractor usually calls the default first and adds columns, which are
+    An extractor is a set of columns over the default's result, ``register_fields``, or, where that can't say it, a site's own DataFrame
+    function in place of the default, ``register``. Fields are shared by any number of sites and cost
+    one scan and one parse for all of them; each function costs a scan of its own. Added columns are
     null for the other sites.
     """
 
     def __init__(self, default: Callable[[DataFrame], DataFrame]):
         self.default = default
         self._by_site: dict[str, Callable[[DataFrame], DataFrame]] = {}
+        self._fields: dict[str, Mapping[str, Column]] = {}
 
     def register(self, site: str, extractor: Callable[[DataFrame], DataFrame]) -> None:
         self._by_site[site] = extractor
 
-    def apply(self, pages: DataFrame) -> DataFrame:
+    def register_fields(self, route: str, fields: Mapping[str, Column]) -> None:
+        """Columns for the pages that are routed to ``route``."""
+        self._fields[route] = fields
+
+    def apply(self, pages: DataFrame, sites: DataFrame | None = None, route: str = "extractor") -> DataFrame:
+        """The default's columns and those of the extractors.
+
+        A page's route is what its site says under ``route`` in ``sites(name, extra)``, else the site's name.
+        """
         names = list(self._by_site)
         rest = pages.filter(~F.col("site").isin(names)) if names else pages
-        parts = [self.default(rest)] + [
+        parts = [self._with_fields(self.default(rest), sites, route)] + [
             fn(pages.filter(F.col("site") == name)) for name, fn in self._by_site.items()
         ]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def _with_fields(self, parsed: DataFrame, sites: DataFrame | None, route: str) -> DataFrame:
+        if not self._fields:
+            return parsed
+        if sites is None:
+            routed = parsed.withColumn("_route", F.col("site"))
+        else:
+            config = sites.select(F.col("name").alias("site"), F.col("extra")[route].alias("_route"))
+            routed = parsed.join(config, "site", "left").withColumn("_route", F.coalesce("_route", "site"))
+        columns: dict[str, Column] = {}
+        for name, fields in self._fields.items():
+            for field, value in fields.items():
+                chosen = columns[field] if field in columns else F
+                columns[field] = chosen.when(F.col("_route") == name, value)
+        return routed.withColumns(columns).drop("_route")

@@ -4,69 +4,68 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+
+from pagelake.session import materialize, new_scratch
 
-# Rows that share one value of a running total's bucket go through one task.
-BUCKET_ROWS = 1 << 16
 # Parts a group is cut in before its rows are ranked.
 SALTS = 32
 
 
-def bucket_offsets(
-    df: DataFrame, keys: Sequence[str], bucket: Column, value: Column, offset: str = "_offset"
+def in_ranges(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str, rows: Observation | None = None
 ) -> DataFrame:
-    """``keys, _bucket, offset``: the sum of ``value`` over the earlier buckets of a key.
+    """``df`` as a table written by ranges of (keys, order), with the number of each row's range in ``_part``.
 
-    The window sees one row per bucket.
+    The ranges follow a sample of the rows, so they hold alike numbers of them however the order
+    values lie and whatever a key's share. The table fixes them: all who read it see the same ranges.
+    ``rows`` counts what is written, as ``rows``.
     """
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = df.groupBy(*keys, bucket.alias("_bucket")).agg(F.sum(value).alias("_sum"))
-    return sums.select(*keys, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias(offset))
+    ranged = df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id())
+    return materialize(ranged if rows is None else ranged.observe(rows, F.count(F.lit(1)).alias("rows")), path)
 
 
-def total_in_bucket(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str | Column],
-    bucket: Column,
-    value: Column,
-    out: str,
-    inclusive: bool = True,
+def range_offsets(ranged: DataFrame, keys: Sequence[str], value: Column, offset: str = "_offset") -> DataFrame:
+    """``keys, _part, offset``: the sum of ``value`` over the earlier ranges of a key.
+
+    The window sees one row per key and range.
+    """
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*keys, "_part").agg(F.sum(value).alias("_sum"))
+    return sums.select(*keys, "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias(offset))
+
+
+def total_in_range(
+    ranged: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, inclusive: bool = True
 ) -> DataFrame:
-    """Adds ``_bucket`` and the running sum of ``value`` within (keys, bucket)."""
+    """Adds the running sum of ``value`` within (keys, _part)."""
     inside = (
-        Window.partitionBy(*keys, "_bucket").orderBy(*order)
+        Window.partitionBy(*keys, "_part").orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     )
-    return (
-        df.withColumns({"_bucket": bucket, "_value": value})
-        .withColumn(out, F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-        .drop("_value")
-    )
+    return ranged.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)))
 
 
 def running_total(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str | Column],
-    bucket: Column,
+    order: Sequence[str],
     value: Column,
     out: str,
     inclusive: bool = True,
+    scratch: str | None = None,
 ) -> DataFrame:
     """``sum(value) over (partition by keys order by order)`` without one task per key.
 
-    ``bucket`` is a non-decreasing function of the order, such as the order
-    column divided by BUCKET_ROWS: totals run inside (keys, bucket), and the
-    sum of the earlier buckets is added. ``df`` is read twice, so pass a table
-    or a cheap projection.
+    Totals run inside (keys, range of the order), and the sum of a key's earlier ranges is added. Any order that tells the rows of a
+    key apart will do, dense or sparse; rows of equal order share a range. ``df`` is written to the scratch folder once.
     """
-    offsets = bucket_offsets(df, keys, bucket, value)
+    ranged = in_ranges(df, keys, order, scratch or new_scratch(df.sparkSession, "ranges"))
     return (
-        total_in_bucket(df, keys, order, bucket, value, out, inclusive)
-        .join(offsets, [*keys, "_bucket"])
+        total_in_range(ranged, keys, order, value, out, inclusive)
+        .join(range_offsets(ranged, keys, value), [*keys, "_part"])
         .withColumn(out, F.col(out) + F.col("_offset"))
-        .drop("_bucket", "_offset")
+        .drop("_part", "_offset")
     )
 
 

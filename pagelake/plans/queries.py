@@ -9,22 +9,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pagelake.functions import urls
+from pagelake.functions.bloom import bits_for
 from pagelake.functions.dates import published_ts
 from pagelake.functions.text import chunks, clean_lines, content_hash, normalize
 from pagelake.operators import (
     dedup, entities, features, fetches, frontier, keywords as kw, news, oplog, pages as pg,
     reports, robots, sites as st,
 )
-from pagelake.operators.skew import BUCKET_ROWS, running_total
+from pagelake.operators.skew import running_total
+from pagelake.plans.crawl import crawl_sites
 from pagelake.plans.news import merge_news
 from pagelake.session import configure, new_scratch
 from pagelake.sinks import zones
 from pagelake.sources import datasets, feeds, inventory as inv, logs
 from pagelake.streaming import pages as stream
+from pagelake.streaming.dedup import drop_seen_within
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +41,10 @@ MAX_RETRIES = 3
 PAGE_LIMIT = 3
 CRAWL_LIMITS = {"fr": 40, "de": 100}
 FAN_OUT = 8
+CRAWL_NAMES = ("en", "fr", "de", "xx")
+TTL_MINUTES = 100
+STREAM_FILES = 4
+FOREVER = 10**9
 
 QUERIES: dict[str, Query] = {}
 
@@ -235,6 +243,18 @@ def dedup_against_history(spark, sf_dir):
     return dedup.drop_duplicates(docs, order=["doc_id"], scope="global", history=history)
 
 
+@query
+def dedup_history_filter(spark, sf_dir):
+    """The same per source, with a filter that two earlier runs have added to; only what it may hold meets the history."""
+    docs = hashed_documents(spark, sf_dir)
+    seen = table(spark, sf_dir, "labels").filter(F.col("quality") == 0).select("doc_id")
+    history = docs.join(seen, "doc_id", "left_semi")
+    known = dedup.HistoryFilter(spark, new_scratch(spark, "history-filter"), bits_for(history.count()))
+    for run_id, part in (("odd", "doc_id % 2 = 1"), ("even", "doc_id % 2 = 0"), ("odd", "doc_id % 2 = 1")):
+        known.add(history.filter(part), run_id)
+    return dedup.drop_duplicates(docs, order=["doc_id"], history=history, history_filter=known)
+
+
 @query
 def duplicate_groups(spark, sf_dir):
     return dedup.duplicate_groups(hashed_documents(spark, sf_dir), "doc_id")
@@ -354,46 +374,129 @@ def site_extractors(spark, sf_dir):
     )
 
 
+@query
+def site_fields(spark, sf_dir):
+    """Sites name their extractor in their extra fields; one parse serves them all."""
+    extra = F.create_map(F.lit("extractor"), F.when(F.startswith("url", F.lit("https")), "secure").otherwise("plain"))
+    sites = table(spark, sf_dir, "pages").select(urls.origin(F.col("url")).alias("name"), extra.alias("extra"), "url").dropDuplicates(["name"])
+    registry = st.Extractors(pg.extract)
+    first = F.split("text", "\n")[0]
+    registry.register_fields("secure", {"headline": first})
+    registry.register_fields("plain", {"headline": F.concat(F.lit("plain: "), first), "n_lines": F.size(F.split("text", "\n"))})
+    return registry.apply(load_pages(spark, sf_dir), sites).select("url", "headline", "n_lines")
+
+
 # -- crawl --------------------------------------------------------------------
-def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as the pages of one site per language: page j links to 8j+1 … 8j+8."""
-    docs = table(spark, sf_dir, "documents").select(F.col("lang").alias("site"), "doc_id", "text")
+def numbered_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``site, doc_id, text, source, _j, _home``: a site per language, its documents numbered from 0."""
+    docs = table(spark, sf_dir, "documents").select(F.col("lang").alias("site"), "doc_id", "text", "source")
     # Only ids go through the numbering; the texts join it by their unique id.
     order = running_total(
-        docs.select("site", "doc_id"), ["site"], ["doc_id"], F.expr(f"doc_id div {BUCKET_ROWS}"), F.lit(1), "_n"
+        docs.select("site", "doc_id"), ["site"], ["doc_id"], F.lit(1), "_n"
     ).select("doc_id", (F.col("_n") - 1).alias("_j"))
-    numbered = docs.join(order.hint("merge"), "doc_id")
     home = F.concat(F.lit("https://"), "site", F.lit(".example.org"))
-    markup = F.regexp_replace(F.regexp_replace(F.col("text"), "&", "&amp;"), "<", "&lt;")
-    anchors = F.transform(
+    return docs.join(order.hint("merge"), "doc_id").withColumn("_home", home)
+
+
+def page_url(j: str = "_j") -> Column:
+    return F.when(F.col(j) == 0, F.col("_home")).otherwise(F.concat("_home", F.lit("/doc/"), j))
+
+
+def child_anchors() -> Column:
+    """Page j links to 8j+1 … 8j+8."""
+    return F.array_join(F.transform(
         F.sequence(F.col("_j") * FAN_OUT + 1, F.col("_j") * FAN_OUT + FAN_OUT),
         lambda k: F.concat(F.lit('<a href="/doc/'), k.cast("string"), F.lit('"></a>')),
+    ), "")
+
+
+def paragraph() -> Column:
+    markup = F.regexp_replace(F.regexp_replace(F.col("text"), "&", "&amp;"), "<", "&lt;")
+    return F.concat(F.lit("<p>"), markup, F.lit("</p>"))
+
+
+def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as the pages of one site per language: a tree of links."""
+    return numbered_documents(spark, sf_dir).select(
+        "site", page_url().alias("url"),
+        F.concat(F.lit("<html><body>"), paragraph(), child_anchors(), F.lit("</body></html>")).alias("html"),
+        F.col("doc_id").alias("fetch_order"),
     )
-    return numbered.select(
-        "site",
-        F.when(F.col("_j") == 0, home).otherwise(F.concat(home, F.lit("/doc/"), "_j")).alias("url"),
-        F.concat(F.lit("<html><body><p>"), markup, F.lit("</p>"), F.array_join(anchors, ""),
-                 F.lit("</body></html>")).alias("html"),
+
+
+def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sites with what real pages have: links home, to the parent, to nowhere, to the page itself and twice
+    to each child, links to skip, an image and metadata."""
+    parent = F.expr(f"concat('/doc/', (_j - 1) div {FAN_OUT})")
+    extras = F.concat(
+        F.lit('<html><head><meta name="author" content="'), "source", F.lit('"></head><body><img src="/i/'), "_j",
+        F.lit('.png" alt="'), "site", F.lit('"><a href="#top"></a><a href="javascript:void(0)"></a><a href=""></a><a href="/gone"></a><a href="'),
+        "_home", F.lit('"></a><a href="'), page_url(), F.lit('"></a>'),
+        F.when(F.col("_j") > FAN_OUT, F.concat(F.lit('<a href="'), parent, F.lit('"></a>'))).otherwise(""),
+    )
+    return numbered_documents(spark, sf_dir).select(
+        "site", page_url().alias("url"),
+        F.concat(extras, child_anchors(), paragraph(), child_anchors(), F.lit("</body></html>")).alias("html"),
         F.col("doc_id").alias("fetch_order"),
     )
 
 
-@query
-def crawl_replay(spark, sf_dir):
-    pages = document_pages(spark, sf_dir)
+def language_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     limit = F.lit(1_000_000)
     for lang, value in CRAWL_LIMITS.items():
         limit = F.when(F.col("lang") == lang, value).otherwise(limit)
-    sites = table(spark, sf_dir, "documents").select("lang").distinct().select(
+    return table(spark, sf_dir, "documents").select("lang").distinct().select(
         F.col("lang").alias("name"),
         F.concat(F.lit("https://"), "lang", F.lit(".example.org")).alias("url"),
-        limit.alias("page_limit"),
+        F.lit(None).cast("boolean").alias("dynamic"), limit.alias("page_limit"), F.lit(None).cast("int").alias("wait_time"),
+        F.create_map(F.lit("owner"), F.concat(F.lit("team "), "lang")).alias("extra"), F.lit(0).alias("ord"),
     )
+
+
+@query
+def crawl_replay(spark, sf_dir):
+    pages, sites = document_pages(spark, sf_dir), language_sites(spark, sf_dir)
     return frontier.crawl_replay(pages, sites).select(
         "site", "url", "depth", "visit_order", "status", "content_hash"
     )
 
 
+@query
+def crawl_run(spark, sf_dir):
+    """The whole crawl of some named sites; every zone and report that it writes, read back."""
+    root, sites = new_scratch(spark, "crawl-run"), language_sites(spark, sf_dir)
+    results = crawl_sites(linked_pages(spark, sf_dir), sites, root, "run-1", RUN_TS, CRAWL_NAMES)
+
+    def part(name: str, df: DataFrame, site: str | Column, url: str | Column, *values: Column) -> DataFrame:
+        texts = [F.coalesce(v.cast("string"), F.lit("")) for v in values]
+        site, url = (F.col(c) if isinstance(c, str) else c for c in (site, url))
+        return df.select(F.lit(name).alias("part"), site.alias("site"), url.alias("url"), F.concat_ws("|", *texts).alias("value"))
+
+    def zone(name: str, schema: str, at: str = root) -> DataFrame:
+        return datasets.read_zone(spark, at, name, schema, day="2025-01-01", run_id="run-1")
+
+    c, none = F.col, F.lit("")
+    images = "ARRAY<STRUCT<url: STRING, alt_text: STRING>>"
+    raw = zone(zones.RAW, f"url STRING, hash STRING, text STRING, images {images}, metadata MAP<STRING,STRING>, crawler STRING, timestamp TIMESTAMP")
+    text = zone(zones.TEXT_PROCESSED, "url STRING, content_hash STRING, keywords ARRAY<STRING>")
+    reports_at = f"{root}/reports"
+    summary = zone("summary", "site STRING, total_pages BIGINT, failed_crawls BIGINT, duplicate_pages BIGINT, end_time TIMESTAMP", reports_at)
+    runs = zone("runs", "site STRING, success BOOLEAN, pages BIGINT, path STRING, error STRING", reports_at)
+    report = zone("run_report", "successful_crawls BIGINT, failed_crawls BIGINT, total_pages BIGINT", reports_at)
+    known = st.lookup_sites(results.select(c("site").alias("name")), sites)
+    parts = [
+        part("raw", raw, "crawler", "url", c("hash"), F.md5("text"), F.size("images"), c("images")[0]["url"], c("images")[0]["alt_text"],
+             c("metadata")["author"], F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")),
+        part("text", text, "source", "url", c("content_hash")),
+        part("summary", summary, "site", none, c("total_pages"), c("failed_crawls"), c("duplicate_pages"), F.date_format("end_time", "yyyy-MM-dd")),
+        part("sitemap", zone("sitemap", "site STRING, url STRING", reports_at), "site", "url"),
+        part("runs", runs, "site", none, c("success"), c("pages"), c("path").isNotNull(), c("error")),
+        part("report", report, c("run_id"), none, c("successful_crawls"), c("failed_crawls"), c("total_pages")),
+        part("site", known.filter("success"), "name", "url", c("kind"), c("extra")["owner"]),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def fetch_outcome(spark, sf_dir):
     log = table(spark, sf_dir, "events").select(
@@ -427,6 +530,23 @@ def robots_filter(spark, sf_dir):
     return robots.robots_filter(raw.select("page_id", "url"), rules)
 
 
+@query
+def robots_rules(spark, sf_dir):
+    """Rules that overlap: nothing below a host's first directory but one file of it, and no path that ends in 7."""
+    raw = table(spark, sf_dir, "pages")
+    url_path = urls.path(F.col("url"))
+    directory = F.min(F.regexp_extract(url_path, "^(/[^/?]+/)", 1))
+    per_host = raw.groupBy(urls.host(F.col("url")).alias("host")).agg(directory.alias("dir"), F.min(url_path).alias("least"))
+    said = F.array(
+        F.struct(F.col("dir").alias("rule"), F.lit(False).alias("allow")),
+        F.struct(F.concat("least", F.lit("$")).alias("rule"), F.lit(True).alias("allow")),
+        F.struct(F.lit("/*7$").alias("rule"), F.lit(False).alias("allow")),
+        F.struct(F.lit("/").alias("rule"), F.lit(True).alias("allow")),
+    )
+    rules = per_host.select("host", F.explode(said).alias("_r")).select("host", "_r.rule", "_r.allow")
+    return robots.robots_filter(raw.select("page_id", "url"), rules)
+
+
 @query
 def crawl_summary(spark, sf_dir):
     return reports.crawl_summary(page_attempts(spark, sf_dir))
@@ -737,37 +857,111 @@ def stream_dedup(spark, sf_dir):
     return spark.read.schema("site STRING, content_hash STRING").parquet(f"{out}/data")
 
 
+def document_files(spark: SparkSession, sf_dir: str) -> str:
+    """Documents by ascending id in several files, one after the other, for streams of several batches."""
+    path = new_scratch(spark, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    last = docs.agg(F.max("doc_id")).first()[0] or 0
+    for k in range(STREAM_FILES):
+        part = docs.filter(F.expr(f"doc_id div {last // STREAM_FILES + 1}") == k)
+        part.write.mode("append").parquet(path)
+    return path
+
+
+@query
+def stream_dedup_bounded(spark, sf_dir):
+    """Documents as pages of a source, a minute apart; a text is forgotten when it has not come up for a while."""
+    root, files = new_scratch(spark, "stream-bounded"), document_files(spark, sf_dir)
+    docs = stream.page_stream(spark, files, "doc_id BIGINT, text STRING, lang STRING, source STRING", max_files=1)
+    timed = docs.select(
+        F.col("source").alias("site"), "doc_id", content_hash(F.col("text")).alias("content_hash"),
+        minutes_after_start("doc_id").alias("fetched_at"),
+    )
+    passed = drop_seen_within(timed, TTL_MINUTES * 60, "fetched_at", "doc_id")
+    stream.stream_to_zone(
+        passed, root, "seen", f"{root}/state", fmt="parquet", source="site", event_time="fetched_at", run_id="run-1"
+    ).awaitTermination()
+    zone = datasets.read_zone(spark, root, "seen", "site STRING, doc_id BIGINT, content_hash STRING, fetched_at TIMESTAMP", "parquet")
+    return zone.select("site", "doc_id", "content_hash", "fetched_at", "year", "month", "day", "run_id")
+
+
+@query
+def stream_runs(spark, sf_dir):
+    """Two streamed runs, one of them tried again from the start, and a batch run beside them in one zone."""
+    root, files = new_scratch(spark, "stream-runs"), document_files(spark, sf_dir)
+    docs = stream.page_stream(spark, files, "doc_id BIGINT, text STRING, lang STRING, source STRING", max_files=1)
+    rows = docs.select("doc_id", "lang", "source", F.md5("text").alias("text_md5"), minutes_after_start("doc_id").alias("ts"))
+    for attempt, (run_id, lang) in enumerate((("run-1", "en"), ("run-2", "fr"), ("run-1", "en"))):
+        stream.stream_to_zone(
+            rows.filter(F.col("lang") == lang), root, zones.TEXT_PROCESSED, f"{root}/state-{attempt}", event_time="ts", run_id=run_id
+        ).awaitTermination()
+    batch = table(spark, sf_dir, "documents").filter("lang = 'de'").select("doc_id", "lang", "source", F.md5("text").alias("text_md5"))
+    for _ in range(2):
+        zones.write_text(batch, root, F.col("source"), minutes_after_start("doc_id"), run_id="run-3")
+    zone = datasets.read_zone(spark, root, zones.TEXT_PROCESSED, "doc_id BIGINT, lang STRING, text_md5 STRING")
+    return zone.select("run_id", "doc_id", "lang", "text_md5", "source", "year", "month", "day")
+
+
 def page_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_pages(stream.page_stream(
+    pages = stream.page_stream(
         spark, sf_dir, "page_id BIGINT, url STRING, html STRING", glob="pages.parquet", max_files=1
-    ))
+    )
+    return as_pages(pages).withColumn("fetched_at", minutes_after_start("fetch_order"))
 
 
 @query
 def stream_text_records(spark, sf_dir):
     """Pages as a stream to text records in the text zone; the zone is read back."""
     root = new_scratch(spark, "stream-text")
-    records = stream.text_stream(page_source(spark, sf_dir), run_ts=RUN_TS)
+    records = stream.text_stream(page_source(spark, sf_dir), FOREVER, run_ts=RUN_TS)
     stream.stream_to_zone(
-        records.drop("url"), root, zones.TEXT_PROCESSED, f"{root}/state", fmt="parquet", source="site"
+        records, root, zones.TEXT_PROCESSED, f"{root}/state", fmt="parquet", source="site", run_id="run-1"
     ).awaitTermination()
     zone = datasets.read_zone(
         spark, root, zones.TEXT_PROCESSED,
-        "site STRING, content_hash STRING, timestamp TIMESTAMP, "
-        "entities MAP<STRING,ARRAY<STRING>>, keywords ARRAY<STRING>", fmt="parquet", day="2025-01-01",
-    )
-    return zone.select(
-        "site", "content_hash", "timestamp", F.array_join("keywords", "|").alias("keywords"),
-        F.size("entities").alias("n_labels"),
+        "site STRING, content_hash STRING, url STRING, timestamp TIMESTAMP, "
+        "entities MAP<STRING,ARRAY<STRING>>, keywords ARRAY<STRING>", fmt="parquet", day="2025-01-01", run_id="run-1",
     )
+    return text_record_rows(zone)
 
 
 @query
 def stream_reports(spark, sf_dir):
-    """Pages as a stream of attempts, then the run's summary and site-map size per site."""
-    root = new_scratch(spark, "stream-reports")
+    """Two runs of one day, over plain and over secure pages; every tenth page was not fetched. Summary and
+    site-map size of each run."""
+    root, out = new_scratch(spark, "stream-reports"), []
+    lost = page_source(spark, sf_dir).withColumn("html", F.when(F.col("fetch_order") % 10 != 3, F.col("html")))
+    for run_id, scheme in (("plain", "http:"), ("secure", "https:")):
+        pages = lost.filter(F.startswith("url", F.lit(scheme)))
+        streams = (
+            (stream.attempt_stream(pages, RUN_TS), stream.ATTEMPTS, "source", "ts"),
+            (stream.text_stream(pages, FOREVER, RUN_TS), zones.TEXT_PROCESSED, "site", "timestamp"),
+        )
+        for rows, zone, source, ts in streams:
+            stream.stream_to_zone(
+                rows, root, zone, f"{root}/state/{run_id}/{zone}", source=source, event_time=ts, run_id=run_id
+            ).awaitTermination()
+        summary, urls = stream.finish_run(spark, root, RUN_TS, run_id)
+        sizes = urls.groupBy("site").agg(F.count("url").alias("n_urls"))
+        out.append(summary.join(sizes, "site", "left").select(
+            F.lit(run_id).alias("run_id"), "site", "total_pages", "failed_crawls", "duplicate_pages", F.coalesce("n_urls", F.lit(0)).alias("n_urls"), "end_time"))
+    return out[0].unionByName(out[1])
+
+
+@query
+def metrics_run(spark, sf_dir):
+    """The figures of a run, from its logs and from the stream that it was, written twice as its report and read back."""
+    root, events = new_scratch(spark, "metrics"), load_events(spark, sf_dir)
     attempts = stream.attempt_stream(page_source(spark, sf_dir), RUN_TS)
-    stream.stream_to_zone(attempts, root, stream.ATTEMPTS, f"{root}/state", event_time="ts").awaitTermination()
-    summary, urls = stream.finish_run(spark, root, RUN_TS)
-    sizes = urls.groupBy("site").agg(F.count("url").alias("n_urls"))
-    return summary.join(sizes, "site").select("site", "total_pages", "failed_crawls", "n_urls", "end_time")
+    query = stream.stream_to_zone(attempts, root, stream.ATTEMPTS, f"{root}/state", event_time="ts", run_id="run-1")
+    query.awaitTermination()
+    batches = spark.createDataFrame(stream.batch_metrics(query, "run-1"), "run_id STRING, batch_id BIGINT, metric STRING, value DOUBLE")
+    streamed = batches.groupBy("metric").agg(F.sum("value").alias("value")).select(
+        F.lit("stream").alias("logger"), F.lit(stream.ATTEMPTS).alias("operation"), "metric", "value")
+    figures = oplog.metrics(op_log(events), mem_log(events), error_log(events)).unionByName(streamed)
+    for _ in range(2):
+        zones.write_metrics(figures, root, RUN_TS, "run-1")
+    stored = datasets.read_zone(
+        spark, f"{root}/reports", "metrics", "logger STRING, operation STRING, metric STRING, value DOUBLE", run_id="run-1")
+    # How long a step took is not the same twice.
+    return stored.filter(~F.endswith("metric", F.lit("_ms"))).select("run_id", "logger", "operation", "metric", F.round("value", 6).alias("value"))

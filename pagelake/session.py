@@ -10,13 +10,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings the operators rely on; all may be set on a live session.
+# Runtime settings that results rely on; all may be set on a live session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Rank limits up to this size are applied before the shuffle (default 1000).
-    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     # Duplicate state of a stream lives on disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -77,20 +73,41 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def bucketed_table(df: DataFrame, path: str, keys: Sequence[str]) -> Iterator[DataFrame]:
-    """``df`` as a Parquet table bucketed by ``keys``, for joins that repeat.
+class BucketedTable:
+    """A Parquet table bucketed by ``keys`` that grows by ``append``, for joins that repeat.
 
-    Each later join on ``keys`` shuffles the other side only. There are as many
-    buckets as shuffle partitions, and rows are placed by bucket before the write, so
-    that there is one file per bucket whatever the input's layout. The catalog entry goes
-    at the end; the files stay in the scratch folder.
+    Each later join on ``keys`` shuffles the other side only, however often the table was appended to. There are as many
+    buckets as shuffle partitions, and rows are placed by bucket before a write, so
+    that it leaves one file per bucket whatever the input's layout. The catalog entry goes
+    at the end of the ``with`` block; the files stay in the scratch folder.
     """
-    spark = df.sparkSession
-    name = f"pagelake_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
-    try:
-        yield spark.table(name)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
+        self.spark, self.path, self.keys = spark, path, list(keys)
+        self.name = f"pagelake_{uuid.uuid4().hex}"
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.written = False
+
+    def append(self, df: DataFrame, placed: bool = False) -> None:
+        """Adds the rows of ``df``; ``placed`` says that its last exchange was by the keys already, as after a window over them."""
+        rows = df if placed else df.repartition(self.buckets, *self.keys)
+        rows.write.format("parquet").mode("append").bucketBy(self.buckets, *self.keys).option("path", self.path).saveAsTable(self.name)
+        self.written = True
+
+    def read(self) -> DataFrame | None:
+        """The rows so far; None before the first append."""
+        return self.spark.table(self.name) if self.written else None
+
+    def __enter__(self) -> BucketedTable:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+@contextmanager
+def bucketed_table(df: DataFrame, path: str, keys: Sequence[str]) -> Iterator[DataFrame]:
+    """``df`` as a ``BucketedTable`` that is written once."""
+    with BucketedTable(df.sparkSession, path, keys) as table:
+        table.append(df)
+        yield table.read()

@@ -1,21 +1,25 @@
 """Writers: datasets by format and the partitioned zones of the lake.
 
-A zone is ``root/zone/source=…/year=…/month=…/day=…``; Spark's committers write
-whole files, the suffix tells the codec.
+A zone is ``root/zone/source=…/year=…/month=…/day=…/run_id=…/batch_id=…``; Spark's committers write
+whole files, the suffix tells the codec. A write replaces the partitions of its own run and batch
+and no others, so a run or a batch that is repeated leaves its rows once.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from pagelake.functions.dates import date_parts
+from pagelake.functions.dates import ISO, date_parts
 
 RAW, PROCESSED, TEXT_PROCESSED = "raw", "processed", "text_processed"
-PARTITIONS = ["source", "year", "month", "day"]
+PARTITIONS = ["source", "year", "month", "day", "run_id", "batch_id"]
 FORMATS = ("json", "parquet", "csv")
+# A write mode beside Spark's own: replace the partitions that have rows, keep the others.
+REPLACE = "replace"
 
 
 def check_format(fmt: str) -> str:
@@ -41,15 +45,22 @@ def write_dataset(
     partition_by: list[str] | None = None,
     rows_per_file: int = 0,
 ) -> str:
-    """Write ``df`` as gzip JSON Lines, Parquet or gzip CSV with a header."""
+    """Write ``df`` as gzip JSON Lines, Parquet or gzip CSV with a header.
+
+    ``mode`` is one of Spark's, or ``replace`` for the partitions of ``partition_by`` that ``df`` has rows for.
+    """
     check_format(fmt)
-    writer = (_flat_for_csv(df) if fmt == "csv" else df).write.format(fmt).mode(mode)
+    writer = (_flat_for_csv(df) if fmt == "csv" else df).write.format(fmt)
+    if mode == REPLACE:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
     if fmt != "parquet":
         writer = writer.option("compression", "gzip")
     if fmt == "csv":
         writer = writer.options(header=True, escape='"', nullValue="\\N", emptyValue='""')
     if fmt == "json":
-        writer = writer.option("ignoreNullFields", False)
+        writer = writer.options(ignoreNullFields=False, timestampFormat=ISO)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if rows_per_file:
@@ -58,11 +69,21 @@ def write_dataset(
     return path
 
 
-def with_partitions(df: DataFrame, source: str | Column, on: date | datetime | Column) -> DataFrame:
-    """Adds ``source, year, month, day``."""
+def new_run() -> str:
+    """A run id that no other run has."""
+    return uuid.uuid4().hex
+
+
+def with_partitions(
+    df: DataFrame, source: str | Column, on: date | datetime | Column, run_id: str | None = None, batch_id: int = 0
+) -> DataFrame:
+    """Adds ``source, year, month, day, run_id, batch_id``; the run is a new one unless it is given."""
     name = F.lit(source) if isinstance(source, str) else source
     day = on if isinstance(on, Column) else F.lit(on)
-    return df.withColumns({"source": name, **date_parts(day)})
+    return df.withColumns({
+        "source": name, **date_parts(day),
+        "run_id": F.lit(new_run() if run_id is None else run_id), "batch_id": F.lit(batch_id).cast("bigint"),
+    })
 
 
 def write_zone(
@@ -72,21 +93,24 @@ def write_zone(
     source: str | Column,
     on: date | datetime | Column,
     fmt: str = "json",
-    mode: str = "append",
+    run_id: str | None = None,
+    batch_id: int = 0,
     compact: bool = True,
     rows_per_file: int = 0,
 ) -> str:
-    """Write into a zone, partitioned by source and day.
+    """Write into a zone, partitioned by source, day, run and batch.
 
+    The partitions that ``df`` has rows for are replaced, all others stay; so a write of the same rows
+    under the same ``run_id`` and ``batch_id`` may be repeated, and without ``run_id`` every write adds.
     ``compact`` asks AQE to rebalance: rows of one partition meet in files of
     the advisory size, small partitions share a task, and a source with a third
     of the rows is split over many.
     """
     check_format(fmt)
-    out = with_partitions(df, source, on)
+    out = with_partitions(df, source, on, run_id, batch_id)
     if compact:
         out = out.hint("rebalance", *PARTITIONS)
-    return write_dataset(out, f"{root}/{zone}", fmt, mode, PARTITIONS, rows_per_file)
+    return write_dataset(out, f"{root}/{zone}", fmt, REPLACE, PARTITIONS, rows_per_file)
 
 
 def write_raw(df: DataFrame, root: str, source: str | Column, on, **options) -> str:
@@ -104,3 +128,8 @@ def write_text(df: DataFrame, root: str, source: str | Column, on, **options) ->
 def write_report(df: DataFrame, root: str, name: str, source: str | Column, on, **options) -> str:
     """A named report (summary, sitemap, run report, metrics) beside the processed zone."""
     return write_zone(df, f"{root}/reports", name, source, on, "json", **options)
+
+
+def write_metrics(metrics: DataFrame, root: str, on, run_id: str) -> str:
+    """The metrics of a run, ``logger, operation, metric, value``, as its report; a repeated call replaces them."""
+    return write_report(metrics, root, "metrics", F.col("logger"), on, run_id=run_id)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -69,16 +70,23 @@ def read_dataset(
 
 
 def read_zone(
-    spark: SparkSession, root: str, zone: str, schema, fmt: str = "json", day: str | None = None
+    spark: SparkSession, root: str, zone: str, schema, fmt: str = "json", day: str | None = None, run_id: str | None = None
 ) -> DataFrame:
-    """A zone with its partition columns ``source, year, month, day``, kept as padded strings.
+    """A zone with its partition columns ``source, year, month, day, run_id, batch_id``; dates are padded strings.
 
-    Filters on them, or ``day`` as ``YYYY-MM-DD``, prune directories.
+    Filters on them, or ``day`` as ``YYYY-MM-DD`` and ``run_id``, prune directories. Columns of ``schema`` that a
+    partition column replaced are left out; a zone that was never written is empty.
     """
-    parts = "source STRING, year STRING, month STRING, day STRING"
-    declared = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    df = spark.read.schema(f"{declared}, {parts}").format(fmt).load(f"{root}/{zone}")
+    parts = T.StructType.fromDDL("source STRING, year STRING, month STRING, day STRING, run_id STRING, batch_id BIGINT")
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    fields = T.StructType([f for f in declared if f.name not in parts.names] + list(parts))
+    try:
+        df = spark.read.schema(fields).format(fmt).load(f"{root}/{zone}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        df = spark.createDataFrame([], fields)
     if day is not None:
         y, m, d = day.split("-")
         df = df.filter((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))
-    return df
+    return df if run_id is None else df.filter(F.col("run_id") == run_id)

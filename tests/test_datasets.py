@@ -62,7 +62,7 @@ def test_json_array_file_and_raw_text(spark, tmp_path):
 def test_partition_layout(spark, tmp_path):
     zones.write_raw(payload(spark), str(tmp_path), "harbour", date(2023, 1, 5))
     folder = tmp_path / "raw/source=harbour/year=2023/month=01/day=05"
-    assert folder.is_dir() and list(folder.glob("*.json.gz"))
+    assert folder.is_dir() and list(folder.glob("run_id=*/batch_id=0/*.json.gz"))
     zone = datasets.read_zone(spark, str(tmp_path), "raw", PAYLOAD, day="2023-01-05")
     assert zone.select("source", "year", "month", "day").distinct().collect() == [("harbour", "2023", "01", "05")]
     assert zone.count() == 4

@@ -3,8 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from pagelake.functions.bloom import bits_for, bloom_words, merge_words, might_hold
 from pagelake.operators import dedup
-from pagelake.operators.skew import first_per_group, running_total, top_n_per_group
+from pagelake.operators.skew import first_per_group, in_ranges, running_total, top_n_per_group
 
 
 @pytest.fixture(scope="module")
@@ -85,9 +86,7 @@ def test_group_limit_runs_before_the_shuffle(spark, rows, plan_of):
 @pytest.mark.parametrize("inclusive", [True, False])
 def test_running_total(spark, rows, inclusive):
     df = frame(spark, rows)
-    got = running_total(
-        df, ["site"], ["fetch_order"], F.expr("fetch_order div 50"), F.col("fetch_order") % 3, "total", inclusive
-    )
+    got = running_total(df, ["site"], ["fetch_order"], F.col("fetch_order") % 3, "total", inclusive)
     for site in {r[0] for r in rows}:
         total, want = 0, {}
         for _, _, i in sorted((r for r in rows if r[0] == site), key=lambda r: r[2]):
@@ -96,6 +95,50 @@ def test_running_total(spark, rows, inclusive):
         assert {r.fetch_order: r.total for r in got.filter(F.col("site") == site).collect()} == want
 
 
+def test_running_total_of_a_hot_site_in_sparse_time(spark, tmp_path):
+    # A third of the rows are one site's, at irregular microseconds over years.
+    rnd = random.Random(6)
+    rows = [("hot" if i % 3 == 0 else f"s{rnd.randint(0, 400)}", rnd.randint(0, 10**14), i % 5) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "site STRING, at BIGINT, v INT").withColumn("ts", F.timestamp_micros("at"))
+    ranged = in_ranges(df, ["site"], ["ts", "v"], str(tmp_path / "r"))
+    sizes = [r["count"] for r in ranged.groupBy("site", "_part").count().collect()]
+    assert max(sizes) <= 2 * len(rows) / ranged.select("_part").distinct().count()
+    got = {(r.site, r.at, r.v): r.total for r in running_total(df, ["site"], ["ts", "v"], F.col("v"), "total").collect()}
+    totals = {}
+    for site, at, v in sorted(rows):
+        totals[site] = totals.get(site, 0) + v
+        assert got[site, at, v] == totals[site]
+
+
+def test_history_filter_spares_the_join(spark, rows, tmp_path, plan_of):
+    df = frame(spark, rows)
+    history = df.filter("fetch_order < 100")
+    known = dedup.HistoryFilter(spark, str(tmp_path / "bloom"), bits_for(100))
+    for run_id, part in (("a", "fetch_order < 50"), ("b", "fetch_order BETWEEN 50 AND 99"), ("a", "fetch_order < 50")):
+        known.add(history.filter(part), run_id)
+    with_filter = dedup.drop_duplicates(df, history=history, history_filter=known)
+    plain = dedup.drop_duplicates(df, history=history)
+    assert {tuple(r) for r in with_filter.collect()} == {tuple(r) for r in plain.collect()}
+    plan = plan_of(with_filter)
+    anti = plan[plan.index("LeftAnti"):]
+    assert "Filter" in anti and "getbit" in anti and "CartesianProduct" not in plan
+    # Rows that no run has seen pass by the filter alone; few others meet the history.
+    new = spark.range(2000).select(F.lit("s9").alias("site"), F.concat(F.lit("n"), "id").alias("content_hash"), F.col("id").alias("fetch_order"))
+    hits = new.withColumn("hit", known.might_hold([F.col("site"), F.col("content_hash")])).filter("hit").count()
+    assert hits < 100
+    seen = history.withColumn("hit", known.might_hold([F.col("site"), F.col("content_hash")]))
+    assert seen.filter("NOT hit").isEmpty()
+
+
+def test_merged_filters_hold_both(spark):
+    a, b = (spark.range(k, k + 300).select(F.col("id").cast("string").alias("h")) for k in (0, 1000))
+    bits = bits_for(600)
+    both = merge_words(bloom_words(a, ["h"], bits), bloom_words(b, ["h"], bits))
+    assert a.union(b).withColumn("hit", might_hold(both, [F.col("h")], bits)).filter("NOT hit").isEmpty()
+    empty = bloom_words(a.limit(0), ["h"], bits)
+    assert a.withColumn("hit", might_hold(empty, [F.col("h")], bits)).filter("hit").isEmpty()
+
+
 def test_top_n_and_first(spark, rows):
     df = frame(spark, rows)
     got = top_n_per_group(df, ["site"], [F.desc("fetch_order")], 7, ["content_hash"], slices=3, rank="r")

@@ -96,3 +96,12 @@ def test_crawl_run(spark, tmp_path):
     assert {r.url for r in sitemap.collect()} == {HOME, HOME + "/a", HOME + "/b"}
     runs = read_zone(spark, root + "/reports", "runs", "run_id STRING, site STRING, success BOOLEAN")
     assert runs.count() == 3
+
+    # A run that is repeated, here after more pages were fetched, replaces its rows; another run adds its own.
+    more = pages.unionByName(spark.createDataFrame([("ok", HOME + "/c", "<p>Gamma</p>", 9)], pages.schema))
+    crawl_sites(more, sites, root, "run-7", T0, names=["ok", "empty", "nope"])
+    crawl_sites(pages, sites, root, "run-8", T0, names=["ok"])
+    raw = read_zone(spark, root, "raw", PAGE_RECORD).groupBy("run_id").count().collect()
+    assert {r.run_id: r["count"] for r in raw} == {"run-7": 3, "run-8": 2}
+    runs = read_zone(spark, root + "/reports", "run_report", "successful_crawls BIGINT, failed_crawls BIGINT, total_pages BIGINT")
+    assert sorted((r.run_id, r.successful_crawls, r.failed_crawls, r.total_pages) for r in runs.collect()) == [("run-7", 2, 1, 4), ("run-8", 1, 0, 3)]
