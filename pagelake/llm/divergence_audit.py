@@ -3,7 +3,7 @@
 White-space chunks are counted per document, each distinct chunk is tokenized once, and its terms are joined
 back. Occurrences of a term are sums over its chunks. Its documents are not: one may hold several of its
 chunks. Two bounds settle most terms, since a term has at least the documents of its commonest chunk and at
-most the sum over its chunks; only where the limit lies between both are single documents compared.
+most the sum over its chunks; only where the limit lies between both are single documents compared, in a second pass.
 """
 
 from __future__ import annotations
@@ -18,19 +18,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pagelake.llm.common import pieces, utf8, written
-from pagelake.session import bucketed_table, new_scratch
+from pagelake.llm.common import pieces, slices, utf8, written
+from pagelake.session import BucketedTable, new_scratch
 
 MIN_DOCS, TOP_TERMS, SMOOTHING = 30, 50, 5
 # A term: a run of ASCII letters and of characters beyond ASCII; only A-Z are lower-cased.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Entries that a task counts before it sends them on; chunks that it remembers from the filter.
-ENTRIES, REMEMBER = 300_000, 300_000
-# Bits of the filter per chunk, and at most; beyond that it only lets more rows through.
+# Entries that a task counts before it sends them on, and text whose chunks meet the filters at a time.
+ENTRIES, SLICE_BYTES = 1_500_000, 4 << 20
+# Bits of a filter per chunk, and at most; beyond that it only lets more rows through.
 BITS_PER_KEY, MOST_BITS, PROBES = 12, 1 << 26, 4
-# Counts in one matrix of sources and terms, and sources compared with all others by one task.
-CELLS, TILE = 1 << 20, 256
+# Counts in one matrix of sources and terms, terms in it at least, and sources compared with all others by one task.
+CELLS, LEAST_TERMS, TILE = 1 << 15, 64, 256
 
 
 def normal(docs: DataFrame) -> DataFrame:
@@ -38,29 +38,30 @@ def normal(docs: DataFrame) -> DataFrame:
     return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
 
 
+def text_of(keys: list[bytes]) -> pa.Array:
+    return pa.array(keys, pa.binary()).cast(pa.string())
+
+
 def chunk_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, chunk, docs, n: documents with the chunk, and its occurrences."""
+    """lang, source, chunk, docs, n: documents with the chunk, and its occurrences.
+
+    A task sums up what it reads, so a chunk that stands everywhere sends a row per group and ENTRIES counts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
-        def entries() -> int:
-            return sum(len(n) for _, n in groups.values())
-
-        def out() -> Iterator[pa.RecordBatch]:
+        def flush() -> Iterator[pa.RecordBatch]:
             for (lang, source), (held, n) in groups.items():
-                keys = list(n)
-                if keys:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(lang, len(keys)), pa.repeat(source, len(keys)), pa.array(keys, pa.binary()).cast(pa.string()),
-                         pa.array([held[k] for k in keys], pa.int64()), pa.array(list(n.values()), pa.int64())],
-                        ["lang", "source", "chunk", "docs", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(lang, len(n)), pa.repeat(source, len(n)), text_of(list(n)),
+                     pa.array(list(map(held.__getitem__, n)), pa.int64()), pa.array(list(n.values()), pa.int64())],
+                    ["lang", "source", "chunk", "docs", "n"])
             groups.clear()
 
+        since = 0
         for batch in batches:
-            langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            since = 0
-            for lang, source, text in zip(langs, sources, utf8(batch.column(2))):
+            for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))):
                 held, n = groups.setdefault((lang, source), (Counter(), Counter()))
                 distinct: set[bytes] = set()
                 for piece in pieces(text):
@@ -69,99 +70,92 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
                     distinct.update(words)
                 held.update(distinct)
                 since += len(distinct)
-                if since > ENTRIES // 4:
+                if since > ENTRIES // 16:
                     since = 0
-                    if entries() > ENTRIES:
-                        yield from out()
-        yield from out()
+                    if sum(len(n) for _, n in groups.values()) > ENTRIES:
+                        yield from flush()
+        yield from flush()
 
     parts = docs.mapInArrow(run, "lang string, source string, chunk string, docs long, n long")
-    return parts.groupBy("lang", "source", "chunk").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    # Rows of a chunk meet where its bucket is written.
+    return parts.repartition("chunk").groupBy("chunk", "lang", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
 
 def tokenized(chunks: DataFrame) -> DataFrame:
-    """chunk, term, k: each distinct chunk's terms, and how often it holds each."""
-    found = F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))
+    """lang, chunk, docs, term, k: each distinct chunk tokenized once, its terms and how often it holds each with its documents by language."""
+    by_lang = chunks.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
+    each = by_lang.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("ls")).select(
+        "chunk", "ls", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0)).alias("ts"))
     counted = F.when(F.size("ts") < 2, F.transform("ts", lambda t: F.struct(t.alias("term"), F.lit(1).alias("k")))).otherwise(
         F.transform(F.array_distinct("ts"), lambda t: F.struct(t.alias("term"), F.size(F.filter("ts", lambda x: x == t)).alias("k"))))
-    each = chunks.select("chunk").distinct().select("chunk", found.alias("ts"))
-    return each.select("chunk", F.explode(counted).alias("_t")).select("chunk", "_t.term", "_t.k")
-
-
-class ChunkFilter:
-    """A Bloom filter of at most MOST_BITS bits; made by the executors, sent to them as bytes."""
-
-    def __init__(self, chunks: DataFrame, n: int):
-        self.bits = 1 << 12
-        while self.bits < min(MOST_BITS, n * BITS_PER_KEY):
-            self.bits *= 2
-        h, step = F.xxhash64("chunk"), F.shiftrightunsigned(F.xxhash64("chunk"), 32)
-        places = F.array(*[(h + step * i).bitwiseAND(F.lit(self.bits - 1)) for i in range(PROBES)])
-        bits = chunks.select(F.explode(places).alias("at")).select((F.col("at") / 64).cast("long").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit"))
-        words = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-        table = np.zeros(self.bits // 64, "<i8")
-        table[words["word"].to_numpy()] = words["bits"].to_numpy()
-        self.table = table.tobytes()
-
-    def __contains__(self, chunk: bytes) -> bool:
-        import xxhash
-
-        h = xxhash.xxh64_intdigest(chunk, 42)
-        step, mask, table = h >> 32, self.bits - 1, self.table
-        for _ in range(PROBES):
-            at = h & mask
-            if not table[at >> 3] >> (at & 7) & 1:
-                return False
-            h += step
-        return True
-
-
-def holders(docs: DataFrame, wanted: ChunkFilter) -> DataFrame:
+    terms = each.select("chunk", "ls", F.explode(counted).alias("_t"))
+    return terms.select("chunk", "_t.term", "_t.k", F.explode("ls").alias("_l")).select("_l.lang", "chunk", "_l.docs", "term", "k")
+
+
+def filter_bits(chunks: DataFrame) -> bytes:
+    """A Bloom filter of ``chunk``, of a size that follows their number up to MOST_BITS; executors make it."""
+    n, bits = chunks.count(), 1 << 12
+    while bits < min(MOST_BITS, n * BITS_PER_KEY):
+        bits *= 2
+    h, step = F.xxhash64("chunk"), F.shiftrightunsigned(F.xxhash64("chunk"), 32)
+    places = F.array(*[(h + step * i).bitwiseAND(F.lit(bits - 1)) for i in range(PROBES)])
+    set_bits = chunks.select(F.explode(places).alias("at")).select(
+        F.expr("shiftright(at, 6)").alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
+    words = set_bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    table = np.zeros(bits // 64, "<i8")
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return table.tobytes()
+
+
+def possibly_in(chunks: list[bytes], filter_: bytes) -> list[bytes]:
+    """The chunks that the filter may hold; none that it holds is missing."""
+    import xxhash
+
+    table = np.frombuffer(filter_, np.uint8)
+    h = np.fromiter((xxhash.xxh64_intdigest(c, 42) for c in chunks), np.uint64, len(chunks))
+    step, mask, found = h >> np.uint64(32), np.uint64(len(table) * 8 - 1), np.ones(len(chunks), bool)
+    for _ in range(PROBES):
+        at = h & mask
+        found &= (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        h = h + step
+    return [chunks[i] for i in np.flatnonzero(found)]
+
+
+def holders(docs: DataFrame, wanted: bytes) -> DataFrame:
     """lang, chunk, row: the documents that hold chunks of the filter; ``row`` tells a document from others of this scan."""
-    shared = docs.sparkSession.sparkContext.broadcast((wanted.bits, wanted.table))
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        has = ChunkFilter.__new__(ChunkFilter)
-        has.bits, has.table = shared.value
-        no: set[bytes] = set()
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            langs, chunks, rows = [], [], []
-            for lang, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                distinct: set[bytes] = set()
-                for piece in pieces(text):
-                    distinct.update(piece.split())
-                left = distinct - no
-                found = [c for c in left if c in has]
-                if len(no) + len(left) > REMEMBER:
-                    no = set()
-                no.update(left.difference(found))
-                langs += [lang] * len(found)
-                chunks += found
-                rows += [row] * len(found)
-                row += 1
-                if len(rows) > ENTRIES:
-                    yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(chunks, pa.binary()).cast(pa.string()), pa.array(rows, pa.int64())], ["lang", "chunk", "row"])
-                    langs, chunks, rows = [], [], []
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(chunks, pa.binary()).cast(pa.string()), pa.array(rows, pa.int64())], ["lang", "chunk", "row"])
+            langs, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
+            for part in slices(texts, SLICE_BYTES):
+                distinct = [set().union(*(piece.split() for piece in pieces(texts[i]))) for i in part]
+                found = set(possibly_in(list(set().union(*distinct)), shared.value))
+                found_langs, chunks, rows = [], [], []
+                for i, words in zip(part, distinct):
+                    own = words & found
+                    chunks += own
+                    found_langs += [langs[i]] * len(own)
+                    rows += [row] * len(own)
+                    row += 1
+                yield pa.RecordBatch.from_arrays([pa.array(found_langs, pa.string()), text_of(chunks), pa.array(rows, pa.int64())], ["lang", "chunk", "row"])
 
     return docs.select("lang", "text").mapInArrow(run, "lang string, chunk string, row long")
 
 
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS, label: str = "divergence") -> DataFrame:
     """lang, source, term, n: occurrences of the terms that at least ``min_docs`` documents of a language hold."""
-    spark = docs.sparkSession
-    with bucketed_table(chunk_counts(docs), new_scratch(spark, f"{label}-chunks"), ["chunk"]) as chunks:
-        by_lang = chunks.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
-        joined = by_lang.join(tokenized(chunks), "chunk")
+    with BucketedTable(docs.sparkSession, new_scratch(docs.sparkSession, f"{label}-chunks"), ["chunk"]) as table:
+        table.append(chunk_counts(docs), placed=True)
+        chunks = table.read()
+        joined = written(tokenized(chunks), f"{label}-joined")
         bounds = joined.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most")).filter(F.col("most") >= min_docs)
         possible = written(joined.join(bounds, ["lang", "term"]).select("lang", "chunk", "term", "k", (F.col("least") >= min_docs).alias("sure")), f"{label}-terms")
-        kept = possible.filter("sure")
-        open_terms = possible.filter("not sure").select("lang", "chunk", "term")
-        if n := open_terms.count():
-            held = holders(docs, ChunkFilter(open_terms.select("chunk"), n)).join(open_terms, ["lang", "chunk"])
-            enough = held.select("lang", "term", "row").distinct().groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
-            kept = kept.unionByName(possible.filter("not sure").join(enough.select("lang", "term"), ["lang", "term"], "left_semi"))
+        unsure = possible.filter("not sure").select("lang", "chunk", "term", "k")
+        held = holders(docs, filter_bits(unsure.select("chunk").distinct())).join(unsure.drop("k"), ["lang", "chunk"]).select("lang", "term", "row").distinct()
+        enough = held.groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
+        kept = possible.filter("sure").drop("sure").unionByName(unsure.join(enough.select("lang", "term"), ["lang", "term"], "left_semi"))
         # One row per chunk, with its languages and terms, meets the counts in their buckets.
         by_chunk = kept.groupBy("chunk").agg(F.collect_list(F.struct("lang", "term", "k")).alias("ts"))
         met = chunks.join(by_chunk, "chunk").select("lang", "source", "n", F.explode("ts").alias("_t")).filter(F.col("_t.lang") == F.col("lang"))
@@ -232,7 +226,7 @@ def divergence_audit(
         (F.row_number().over(by_lang) - 1).cast("long").alias("sid"))
     groups = written(groups, "divergence-groups")
     langs = groups.groupBy("lang").agg(F.count("*").alias("sources"), F.sum("total").alias("lang_total")).join(groups.select("lang", "terms").distinct(), "lang").select(
-        "lang", "lang_total", F.ceil(F.col("sources") / tile).alias("tiles"), F.expr(f"greatest(1L, (sources * terms + {cells - 1}) div {cells})").alias("buckets"))
+        "lang", "lang_total", F.ceil(F.col("sources") / tile).alias("tiles"), F.expr(f"greatest(1L, ceil(terms / greatest({LEAST_TERMS}L, {cells} div sources)))").alias("buckets"))
 
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
     here = groups.join(langs, "lang")

@@ -8,7 +8,6 @@ from collections import Counter, defaultdict
 import brute_path  # noqa: F401
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from pagelake.llm import chat_format as chat
 from pagelake.llm import divergence_audit as audit
@@ -227,8 +226,9 @@ def test_audit_shares_are_exact(spark):
 
 
 def test_filter_knows_its_chunks(spark):
-    chunks = spark.createDataFrame([(f"é{i}",) for i in range(3000)], "chunk STRING")
-    made = audit.ChunkFilter(chunks, 3000)
-    assert all(f"é{i}".encode() in made for i in range(3000))
-    assert sum(f"no{i}".encode() in made for i in range(10_000)) < 300
-    assert chunks.select(F.xxhash64("chunk")).count() == 3000
+    made = audit.filter_bits(spark.createDataFrame([(f"é{i}",) for i in range(3000)], "chunk STRING"))
+    chunks = [f"é{i}".encode() for i in range(3000)]
+    assert audit.possibly_in(chunks, made) == chunks
+    assert len(audit.possibly_in([f"no{i}".encode() for i in range(10_000)], made)) < 300
+    assert audit.possibly_in([], made) == []
+    assert audit.possibly_in(chunks, audit.filter_bits(spark.createDataFrame([], "chunk STRING"))) == []
