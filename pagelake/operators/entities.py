@@ -18,16 +18,21 @@ PATTERNS: dict[str, str] = {
     "URL": r"https?://[^\s<>\"']+",
 }
 
+# What every match of a pattern holds. A text without it is not searched, which costs far less.
+_HOLDS = {PATTERNS["EMAIL"]: "@", PATTERNS["URL"]: "://"}
+
 ENTITY_MAP = "MAP<STRING,ARRAY<STRING>>"
 
 
 def pattern_entities(text: Column, patterns: Mapping[str, str] = PATTERNS) -> Column:
     """Map of label to matches in text order; labels without a match are absent."""
-    pairs = [
-        part
-        for label, regex in patterns.items()
-        for part in (F.lit(label), F.regexp_extract_all(text, F.lit(regex), F.lit(0)))
-    ]
+    def matches(regex: str) -> Column:
+        found = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
+        if regex not in _HOLDS:
+            return found
+        return F.when(F.contains(text, F.lit(_HOLDS[regex])), found).otherwise(F.array().cast("array<string>"))
+
+    pairs = [part for label, regex in patterns.items() for part in (F.lit(label), matches(regex))]
     return F.map_filter(F.create_map(*pairs), lambda _, found: F.size(found) > 0)
 
 

@@ -1,7 +1,7 @@
 """Breadth-first crawl replay over a snapshot of fetched pages.
 
 All sites advance together, one level per step. The HTML is parsed once into a narrow node table before the
-first level. What the crawl knows is kept in tables that every level appends to: urls attempted, bucketed by
+first level. What the crawl knows is kept in tables that every level appends to: attempts, bucketed by
 (site, url) as the nodes are, and hashes emitted, bucketed by (site, content_hash). So a level shuffles its
 own urls and hashes only, and they meet nodes and history bucket by bucket; pages visited per site are carried
 on from level to level. The running total per site goes by ranges of the level's rows, so neither a large site
@@ -125,18 +125,18 @@ def replay_table(
     spark = nodes.sparkSession
     scratch = scratch or new_scratch(spark, "crawl")
     with (
-        BucketedTable(spark, f"{scratch}/seen", KEY) as seen,
+        BucketedTable(spark, f"{scratch}/attempts", KEY, ["depth"]) as attempts,
         BucketedTable(spark, f"{scratch}/hashes", ["site", "content_hash"]) as hashes,
     ):
         if history is not None:
             hashes.append(history.select("site", "content_hash").filter("content_hash IS NOT NULL").distinct())
-        _replay(nodes, sites, seen, hashes, scratch)
+        _replay(nodes, sites, attempts, hashes, scratch)
     narrow = "site STRING, url STRING, parent BIGINT, pos INT, content_hash STRING, visit_order BIGINT, status STRING, depth INT"
     return spark.read.schema(narrow).parquet(f"{scratch}/attempts")
 
 
-def _replay(nodes: DataFrame, sites: DataFrame, seen: BucketedTable, hashes: BucketedTable, scratch: str) -> None:
-    """Writes the attempts of every level to ``scratch/attempts/depth=…``."""
+def _replay(nodes: DataFrame, sites: DataFrame, attempts: BucketedTable, hashes: BucketedTable, scratch: str) -> None:
+    """Appends every level to ``attempts``, a partition per depth."""
     spark = nodes.sparkSession
     limits = materialize(sites.select(
         F.col("name").alias("site"), F.lit(0).cast("bigint").alias("visited"),
@@ -152,14 +152,12 @@ def _replay(nodes: DataFrame, sites: DataFrame, seen: BucketedTable, hashes: Buc
         )
         if not rows.get["rows"]:
             if not depth:
-                _no_attempts(level).write.parquet(f"{scratch}/attempts/depth=0")
+                attempts.append(_no_attempts(level))
             return
-        # Links stay in their own column of the level's table; what reads the attempts leaves them alone.
-        attempted = materialize(
-            _with_status(_attempt_level(level, limits), hashes.read()), f"{scratch}/attempts/depth={depth}"
-        )
+        # Links stay in their own column; what reads the attempts leaves them alone.
+        attempts.append(_with_status(_attempt_level(level, limits), hashes.read()).withColumn("depth", F.lit(depth)))
+        attempted = attempts.read().filter(F.col("depth") == depth)
         emitted = attempted.filter(F.col("status") == NEW)
-        seen.append(attempted.select(*KEY))
         hashes.append(emitted.select("site", "content_hash"))
         visited = attempted.filter(F.col("status") != FAILED).groupBy("site").agg(F.count("url").alias("_more"))
         limits = materialize(
@@ -169,14 +167,14 @@ def _replay(nodes: DataFrame, sites: DataFrame, seen: BucketedTable, hashes: Buc
             f"{scratch}/limits/{depth + 1}",
         )
         expanded = emitted.select("site", F.col("visit_order").alias("parent"), "links").join(limits.select("site"), "site")
-        frontier = next_frontier(expanded, seen.read())
+        frontier = next_frontier(expanded, attempts.read())
         depth += 1
 
 
 def _no_attempts(level: DataFrame) -> DataFrame:
     return level.select(
         *KEY, "parent", "pos", "content_hash",
-        F.lit(None).cast("bigint").alias("visit_order"), F.lit(None).cast("string").alias("status"),
+        F.lit(None).cast("bigint").alias("visit_order"), F.lit(None).cast("string").alias("status"), F.lit(0).alias("depth"),
     )
 
 

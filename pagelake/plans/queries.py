@@ -817,6 +817,20 @@ def round_trip_csv(spark, sf_dir):
     return round_trip(spark, sf_dir, "csv")
 
 
+@query
+def raw_files(spark, sf_dir):
+    """Documents as lines of files of no known format, each read back as one raw text; and what a look for paths finds."""
+    path = new_scratch(spark, "raw-files")
+    lines = table(spark, sf_dir, "documents").select("source", F.concat_ws(" ", "doc_id", F.md5("text")).alias("value"))
+    lines.write.partitionBy("source").text(path)
+    line = F.explode(F.split("raw", "\n")).alias("line")
+    texts = datasets.read_dataset(spark, path).select("source", line).filter("line <> ''")
+    return texts.select(
+        F.substring_index("line", " ", 1).cast("bigint").alias("doc_id"), F.substring_index("line", " ", -1).alias("text_md5"), "source",
+        F.lit(inv.exists(spark, path, "source=src")).alias("found"), F.lit(inv.exists(spark, path, "source=none")).alias("other_found"),
+    )
+
+
 def write_document_zone(spark: SparkSession, sf_dir: str) -> str:
     """Documents by source and the day their article appeared."""
     root = new_scratch(spark, "zone")

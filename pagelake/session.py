@@ -82,8 +82,8 @@ class BucketedTable:
     at the end of the ``with`` block; the files stay in the scratch folder.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
-        self.spark, self.path, self.keys = spark, path, list(keys)
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()):
+        self.spark, self.path, self.keys, self.partition_by = spark, path, list(keys), list(partition_by)
         self.name = f"pagelake_{uuid.uuid4().hex}"
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.written = False
@@ -91,7 +91,10 @@ class BucketedTable:
     def append(self, df: DataFrame, placed: bool = False) -> None:
         """Adds the rows of ``df``; ``placed`` says that its last exchange was by the keys already, as after a window over them."""
         rows = df if placed else df.repartition(self.buckets, *self.keys)
-        rows.write.format("parquet").mode("append").bucketBy(self.buckets, *self.keys).option("path", self.path).saveAsTable(self.name)
+        writer = rows.write.format("parquet").mode("append").bucketBy(self.buckets, *self.keys)
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.option("path", self.path).saveAsTable(self.name)
         self.written = True
 
     def read(self) -> DataFrame | None:
