@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +32,8 @@ LOSS_ROLES = ("assistant",)
 # Two texts of one character that no template treats as white space or markup.
 PROBES = ("x", "y")
 BATCH_CHARS = 4 << 20
+# Turns that the default template remembers.
+TURNS = 1 << 14
 
 
 def escape(text: str) -> str:
@@ -42,20 +45,24 @@ def unescape(text: str) -> str:
     return _UNESCAPE.sub("", text)
 
 
+@lru_cache(TURNS)
+def marked_turn(role: str, text: str) -> str:
+    text = escape(text)
+    if role == "user":
+        return f"<s>[INST] {text} [/INST]"
+    if role == "assistant":
+        return f" {text}</s>"
+    if role == "system":
+        return f"<s><<SYS>>\n{text}\n<</SYS>>\n\n"
+    return f"<s>[ROLE]{escape(role)}[/ROLE] {text}</s>"
+
+
 def default_template(turns: Sequence[Turn]) -> str:
-    """``<s>[INST] … [/INST]`` for users, `` …</s>`` for assistants, marked system and other turns, in any order."""
-    out = []
-    for role, text in turns:
-        text = escape(text)
-        if role == "user":
-            out.append(f"<s>[INST] {text} [/INST]")
-        elif role == "assistant":
-            out.append(f" {text}</s>")
-        elif role == "system":
-            out.append(f"<s><<SYS>>\n{text}\n<</SYS>>\n\n")
-        else:
-            out.append(f"<s>[ROLE]{escape(role)}[/ROLE] {text}</s>")
-    return "".join(out)
+    """``<s>[INST] … [/INST]`` for users, `` …</s>`` for assistants, marked system and other turns, in any order.
+
+    Turns are marked once and remembered, as every prefix of a conversation holds the turns before.
+    """
+    return "".join([marked_turn(role, text) for role, text in turns])
 
 
 _READ = re.compile(
