@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,19 +22,20 @@ from pagelake.llm.common import written
 BUCKETS = 1 << 18
 FACTORS = 6
 ROWS_PER_CLASS = 8000
-EPOCHS = 30
+EPOCHS = 50
 PREFIXES = (3, 4, 5, 6, 7)
 FOLDS = 5
-# Terms are fitted if the classes' shares of texts with them differ by so many standard errors, over so many texts.
+# Terms are fitted if the classes' shares of texts with them differ by so many standard errors, over so many texts;
+# and, as a pair may tell what neither of its terms does, so many of the commonest terms whatever they tell.
 MIN_Z = 5.0
 MIN_TEXTS = 8
-# Rows per fitting step, and words a worker remembers.
+COMMON = 512
+# Rows per fitting step, and words a task remembers while it scores.
 STEP_ROWS = 256
-REMEMBER = 300_000
+REMEMBER = 200_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
-@lru_cache(REMEMBER)
 def terms(word: str) -> tuple[int, ...]:
     """Hashed terms of a lower-case word: the word and its beginnings."""
     return tuple(zlib.crc32(t.encode()) % BUCKETS for t in (f"={word}", *(word[:n] for n in PREFIXES if len(word) >= n)))
@@ -46,25 +46,52 @@ def distinct_words(text: str) -> set[str]:
 
 
 class Model:
-    """b, w[bucket], v[bucket, factor]."""
+    """b, and by bucket a row of weight, factors and the sum of squared factors; other buckets add nothing."""
 
-    def __init__(self, b: float, w: np.ndarray, v: np.ndarray):
-        self.b, self.w, self.v = b, w, v
+    def __init__(self, b: float, buckets: list[int], w: np.ndarray, v: np.ndarray):
+        self.b, self.index = b, {bucket: i for i, bucket in enumerate(buckets)}
+        self.table = np.concatenate([w[:, None], v, (v * v).sum(1)[:, None]], axis=1)
 
-    def rows(self, words: list[str]) -> np.ndarray:
-        """What each word adds: weight, factors, and the sum of squared factors."""
-        ids = [terms(x) for x in words]
-        flat = np.fromiter((i for x in ids for i in x), np.int64)
-        at = np.cumsum([0] + [len(x) for x in ids])[:-1]
-        v = self.v[flat]
-        return np.concatenate([np.add.reduceat(self.w[flat], at)[:, None], np.add.reduceat(v, at), np.add.reduceat((v * v).sum(1), at)[:, None]], axis=1)
+    def row(self, word: str) -> np.ndarray | None:
+        """What a word adds; None where it adds nothing."""
+        row = None
+        for t in terms(word):
+            if (i := self.index.get(t)) is not None:
+                row = self.table[i] if row is None else row + self.table[i]
+        return row
 
     def logit(self, total: np.ndarray) -> np.ndarray:
         return self.b + total[..., 0] + 0.5 * ((total[..., 1:-1] ** 2).sum(-1) - total[..., -1])
 
 
-def telling(taken: DataFrame, least: float = MIN_Z) -> list[int]:
-    """The buckets whose share of texts differs between the classes by ``least`` standard errors; none if a class is missing."""
+class _Known(dict):
+    """By word the place of its row in a table; place 0 adds nothing. Starts anew when it holds REMEMBER words."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model, self.used, self.table = model, 1, np.zeros((1024, model.table.shape[1]))
+
+    def __missing__(self, word: str) -> int:
+        row, at = self.model.row(word), 0
+        if row is not None:
+            if self.used == len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            at, self.used = self.used, self.used + 1
+            self.table[at] = row
+        self[word] = at
+        return at
+
+    def total(self, words: set[str]) -> np.ndarray:
+        if len(self) > REMEMBER:
+            self.clear()
+            self.used = 1
+        places = list(map(self.__getitem__, words))
+        return self.table[places].sum(0) if places else np.zeros(self.table.shape[1])
+
+
+def chosen_buckets(taken: DataFrame, least: float = MIN_Z, common: int = COMMON) -> list[int]:
+    """The buckets to fit: those whose share of texts differs between the classes by ``least`` standard errors, and the
+    ``common`` ones with the most texts; none if a class is missing."""
     n = {r.toxic: r.n for r in taken.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return []
@@ -77,25 +104,26 @@ def telling(taken: DataFrame, least: float = MIN_Z) -> list[int]:
         found = np.flatnonzero(seen.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(seen[0][found]), pa.array(seen[1][found])], ["bucket", "c0", "c1"])
 
+    # At most a row per bucket reaches the driver.
     counts = taken.select("ids", "toxic").mapInArrow(counted, "bucket long, c0 long, c1 long").groupBy("bucket").agg(
-        F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
-    p = (F.col("c0") + F.col("c1")) / F.lit(n[0] + n[1])
-    error = F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * F.lit(1 / n[0] + 1 / n[1]))
-    apart = F.abs(F.col("c1") / F.lit(n[1]) - F.col("c0") / F.lit(n[0])) / error
-    return sorted(r.bucket for r in counts.filter((F.col("c0") + F.col("c1") >= MIN_TEXTS) & (apart >= least)).select("bucket").collect())
+        F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).toArrow()
+    bucket, c0, c1 = (counts[name].to_numpy() for name in ("bucket", "c0", "c1"))
+    p = (c0 + c1) / (n[0] + n[1])
+    error = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n[0] + 1 / n[1]))
+    telling = bucket[(c0 + c1 >= MIN_TEXTS) & (np.abs(c1 / n[1] - c0 / n[0]) >= least * error)]
+    return np.union1d(telling, bucket[np.lexsort((bucket, -(c0 + c1)))[:common]]).tolist()
 
 
 def fit(samples: list[tuple[np.ndarray, int]], chosen: list[int], epochs: int = EPOCHS, rate: float = 0.2, decay: float = 1e-3, seed: int = 7) -> Model:
     """Adagrad on the logistic loss over the buckets ``chosen``, classes weighed alike. ``samples``: (places in ``chosen``, 0 or 1)."""
     rng = np.random.default_rng(seed)
-    w, v = np.zeros(BUCKETS), np.zeros((BUCKETS, FACTORS))
     y = np.array([s[1] for s in samples], float)
     if len(set(y.tolist())) < 2:
         share = (y.sum() + 1) / (len(y) + 2)
-        return Model(float(np.log(share / (1 - share))), w, v)
+        return Model(float(np.log(share / (1 - share))), [], np.zeros(0), np.zeros((0, FACTORS)))
     rows = [flat for flat, _ in samples]
     n, lengths = len(chosen), np.array([len(r) for r in rows])
-    a, e, b = np.zeros(n), rng.normal(0, 0.01, (n, FACTORS)), 0.0
+    a, e, b = np.zeros(n), rng.normal(0, 0.05, (n, FACTORS)), 0.0
     ga, ge, gb = np.full(n, 1e-3), np.full((n, FACTORS), 1e-3), 1e-3
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     for _ in range(epochs):
@@ -115,17 +143,19 @@ def fit(samples: list[tuple[np.ndarray, int]], chosen: list[int], epochs: int =
                 e[:, f] -= 0.5 * rate * de / np.sqrt(ge[:, f])
             gb += g.sum() ** 2
             b -= rate * g.sum() / np.sqrt(gb)
-    w[chosen], v[chosen] = a, e
-    return Model(float(b), w, v)
+    return Model(float(b), chosen, a, e)
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> tuple[list[tuple[np.ndarray, int]], list[int]]:
-    """The rows to learn from, as (places of their telling terms, label), and the telling buckets.
+    """The rows to learn from, as (places of their chosen terms, label), and the chosen buckets.
 
     Their number is bounded by the parameter. Executors count the terms, and only the
-    telling ones reach the driver.
+    chosen ones reach the driver.
     """
-    known = labels.filter(F.col("toxic").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    learnt = labels.filter(F.col("toxic").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0))
+    # One label per document; those with both tell nothing.
+    known = learnt.groupBy("doc_id").agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").cast("int").alias("most")).filter("toxic = most").drop("most")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = known.filter("toxic = 1").orderBy(*order).limit(rows_per_class).union(known.filter("toxic = 0").orderBy(*order).limit(rows_per_class))
 
@@ -133,14 +163,13 @@ def sample(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CL
         for batch in batches:
             ids = []
             for text in batch.column(0).to_pylist():
-                flat = np.array([t for x in sorted(distinct_words(text or "")) for t in terms(x)], "<i4")
-                # Repeats of a term count up to a total of one entry per bucket.
-                ids.append((flat if len(flat) <= BUCKETS else np.unique(flat)).tobytes())
+                flat = np.fromiter((t for x in sorted(distinct_words(text or "")) for t in terms(x)), "<i4")
+                ids.append(flat.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), batch.column(1), batch.column(2)], ["ids", "toxic", "doc_id"])
 
     taken = written(docs.select("doc_id", "text").join(ids, "doc_id").select("text", "toxic", "doc_id").mapInArrow(
-        run, "ids binary, toxic int, doc_id long"), "toxicity-sample")
-    chosen = telling(taken)
+        run, f"ids binary, toxic int, doc_id {id_type}"), "toxicity-sample")
+    chosen = chosen_buckets(taken)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(BUCKETS, -1, "<i4")
@@ -149,38 +178,21 @@ def sample(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CL
             found = [(p := place[np.frombuffer(x, "<i4")])[p >= 0].tobytes() for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1), batch.column(2)], ["ids", "toxic", "doc_id"])
 
-    rows = taken.mapInArrow(placed, "ids binary, toxic int, doc_id long").collect()
+    rows = taken.mapInArrow(placed, f"ids binary, toxic int, doc_id {id_type}").collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.ids)))
     return [(np.frombuffer(bytes(r.ids), "<i4"), r.toxic) for r in rows], chosen
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score of every row, by its text alone; empty and null texts get the model's base score."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.b, model.w.astype("f4"), model.v.astype("f4")))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(*shared.value)
-        index: dict[str, int] = {}
-        table = np.zeros((1024, FACTORS + 2))
+        m = shared.value
+        known = _Known(m)
 
         def logit(text: str) -> float:
-            nonlocal table
-            words = distinct_words(text)
-            if not words:
-                return float(m.b)
-            new = [x for x in words if x not in index]
-            extra = m.rows(new) if new else None
-            total = np.zeros(FACTORS + 2)
-            if len(new) < len(words):
-                total += table[[index[x] for x in words if x in index]].sum(0)
-            if new:
-                total += extra.sum(0)
-                if len(index) + len(new) <= REMEMBER:
-                    while len(table) < len(index) + len(new):
-                        table = np.concatenate([table, np.zeros_like(table)])
-                    table[len(index): len(index) + len(new)] = extra
-                    index.update(zip(new, range(len(index), len(index) + len(new))))
-            return float(m.logit(total))
+            return float(m.logit(known.total(distinct_words(text))))
 
         for batch in batches:
             z = np.array([logit(t or "") for t in batch.column(1).to_pylist()])
@@ -193,7 +205,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs``.
 
-    Rows without label are scored like any other. With no label of either class the score is the labelled share of 1.
+    Rows without label are scored like any other, repeated rows and ids each for themselves; a null text counts as empty, a null
+    id as an empty one. Other columns are not read. Labels of a document may repeat; where they differ, or are null, it isn't
+    learnt from. With no label of either class the score is the labelled share of 1. A task holds the distinct words of one text.
     """
     model = fit(*sample(docs, labels, rows_per_class))
     return score(docs, model).select(

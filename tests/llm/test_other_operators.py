@@ -114,6 +114,59 @@ def test_toxicity_learns_pairs(spark):
     assert sum(r.predicted == want[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def toxic_texts(rnd, n, toxic):
+    words = [f"plain{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(n):
+        one, other = rnd.random() < 0.5, rnd.random() < 0.5
+        text = [words[j] for j in rnd.integers(0, 300, 30)] + ["vermin"] * one + ["neighbours"] * other
+        rows.append((f"d{i}", " ".join(text)))
+        labels.append((f"d{i}", int(toxic(one, other))))
+    return rows, labels
+
+
+def test_toxicity_where_only_the_pair_tells(spark):
+    """One word or the other, not both: every sum of weights is right half the time."""
+    rows, labels = toxic_texts(np.random.default_rng(3), 3000, lambda a, b: a != b)
+    docs = spark.createDataFrame([(*r, "x", 1.0) for r in rows], "doc_id STRING, text STRING, toxic STRING, score DOUBLE")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, spark.createDataFrame(labels, "doc_id STRING, toxic INT")).collect()}
+    held = [(r.predicted, want) for i, want in labels if (r := got[i]).held_out]
+    assert sum(a == b for a, b in held) >= 0.95 * len(held)
+    y, x = np.array([want for _, want in labels]), np.array([["vermin" in t, "neighbours" in t, 1] for _, t in rows], float)
+    linear = (x @ np.linalg.lstsq(x, y, rcond=None)[0] >= 0.5) == y
+    assert linear.mean() < 0.6
+
+
+def test_toxicity_repeated_and_conflicting_labels(spark):
+    rows, labels = toxic_texts(np.random.default_rng(4), 600, lambda a, b: a)
+    plain = toxicity.toxicity(spark.createDataFrame(rows, "doc_id STRING, text STRING"), spark.createDataFrame(labels, "doc_id STRING, toxic INT"))
+    # Repeats change nothing; a document with both labels, one without text row and null labels tell nothing.
+    odd = [("d0x", 0), ("d0x", 1), ("gone", 1), ("d1", None), (None, 1)]
+    more = spark.createDataFrame([*rows, ("d0x", "vermin"), (None, "vermin"), ("nul", None), ("long", "vermin " * 300_000 + "plainaa")], "doc_id STRING, text STRING")
+    other = toxicity.toxicity(more, spark.createDataFrame(labels * 3 + odd, "doc_id STRING, toxic INT")).collect()
+    want = {(r.doc_id, r.held_out, r.score) for r in plain.collect()}
+    assert want <= {(r.doc_id, r.held_out, r.score) for r in other} and len(other) == len(rows) + 4
+    assert {r.doc_id: r.held_out for r in other}[None] is True and {r.doc_id: r.predicted for r in other}["long"] == 1
+
+
+def plain_logit(model, text):
+    """The machine as it is written: weights, and the product of factors of every pair of terms."""
+    at = [model.index[t] for w in toxicity.distinct_words(text) for t in toxicity.terms(w) if t in model.index]
+    v = model.table[at, 1:-1]
+    pairs = sum(v[i] @ v[j] for i in range(len(at)) for j in range(i))
+    return model.b + model.table[at, 0].sum() + pairs
+
+
+def test_toxicity_pair_sum_equals_all_pairs(spark):
+    rnd = np.random.default_rng(5)
+    texts = [" ".join(f"word{chr(97 + k)}" for k in rnd.integers(0, 26, 12)) for _ in range(40)] + ["", "Alone"]
+    buckets = sorted({t for x in texts for w in toxicity.distinct_words(x) for t in toxicity.terms(w)})[::2]
+    model = toxicity.Model(0.3, buckets, rnd.normal(size=len(buckets)), rnd.normal(size=(len(buckets), toxicity.FACTORS)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    for r in toxicity.score(docs, model).collect():
+        assert math.isclose(r.score, 1 / (1 + math.exp(-max(-30, min(30, plain_logit(model, texts[r.doc_id]))))), rel_tol=1e-9)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id BIGINT, text STRING")
     got = toxicity.toxicity(docs, spark.createDataFrame([], "doc_id BIGINT, toxic INT")).collect()
