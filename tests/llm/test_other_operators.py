@@ -22,11 +22,86 @@ from pagelake.llm.html_extraction import extract_text
     ("<article><p>a < b and 3 > 2 &#" + "9" * 5000 + ";</p></article>", "a < b and 3 > 2 �"),
     ("<![foo bar]><p><![if x]>kept", "kept"),
     ("<p>" * 3000 + "deep" + "<div>" * 3000 + "er", "deep er"),
+    ("<nav>" + "<div>" * 3000 + "x</nav><p>Article text</p>", "Article text"),
+    # Names that speak of the layout, and forms around a whole page, hide nothing.
+    ("<body><div class='content with-sidebar'><p>Article text</p></div>", "Article text"),
+    ("<body><div class='has-header no-menu'><article><p>Article text</p></article></div>", "Article text"),
+    ("<body><div id=sidebar-layout><p>Article text that is all the page holds</p></div>", "Article text that is all the page holds"),
+    ("<body><form action=/page><div><p>Article text</p><input name=q></div></form>", "Article text"),
+    ("<body><main><div class='promo-page'><p>Article text</p></div></main>", "Article text"),
+    # Inline parts end with their own end tag; links are judged like other inline parts.
+    ("<p>Text <span class='ad'><span>buy</span> now cheap</span>goes on</p>", "Text goes on"),
+    ("<p>Text <a class='share' href=x>share this</a><a hidden>gone</a><i aria-hidden=true>x</i>goes <a href=y>on</a></p>", "Text goes on"),
+    ("<p class=ad><p><span class='ad'>never closed <b>text</b></p>", "never closed text"),
+    # Long comments beside a short article.
+    ("<body><article><p>Short article text.</p></article><section id=comments>" + f"<article class=comment><p>{'Longer than that. ' * 30}</p></article>" * 9 + "</section>",
+     "Short article text."),
+    ("<body><div>" + f"<p>{'Dense text without telling names. ' * 9}</p>" * 3 + "<ul>" + "<li><a href=x>a</a>" * 9 + "</ul><div class=ad>Buy</div></div>",
+     " ".join([("Dense text without telling names. " * 9).strip()] * 3)),
 ])
 def test_pages(page, want):
     assert extract_text(page) == want
 
 
+def plain_density(node, page):
+    """Density of a tree of ("tag", children), texts as strings, by the formula; and (characters, of links, tags, link tags)."""
+    def size(n, linked):
+        if isinstance(n, str):
+            c = len(n.replace(" ", ""))
+            return c, c * linked, 0, 0
+        parts = [size(x, linked or n[0] == "a") for x in n[1]]
+        c, lc, t, lt = (sum(x) for x in zip(*parts)) if parts else (0, 0, 0, 0)
+        return c, lc, t + 1, lt + (n[0] == "a")
+
+    c, lc, t, lt = size(node, False)
+    t = max(t - 1, 1)
+    if not c:
+        return 0.0
+    return c / t * math.log(max(c * t / (max(lc, 1) * max(lt, 1)), 1)) / math.log(1 + math.log(c / max(c - lc, 1) * lc + page * c + math.e))
+
+
+def markup(node):
+    return node if isinstance(node, str) else f"<{node[0]}>" + "".join(map(markup, node[1])) + f"</{node[0]}>"
+
+
+def test_density_equals_the_plain_formula():
+    rnd = np.random.default_rng(6)
+
+    def tree(depth):
+        def child():
+            x = rnd.random()
+            if x < 0.4 or not depth:
+                return "some words here "[: int(rnd.integers(1, 16))]
+            return ("a", ["link text"]) if x < 0.6 else tree(depth - 1)
+        return ("div", [child() for _ in range(rnd.integers(1, 6))])
+
+    for _ in range(60):
+        page = ("body", [tree(4), tree(3)])
+        got = html_extraction.Tree(markup(page))
+        sizes = html_extraction.Sizes(got)
+        density, total = html_extraction.densities(got, sizes, sizes.doubted(got))
+        share = sizes.link_chars[0] / max(sizes.chars[0], 1)
+        order = []
+
+        def walk(n):
+            if not isinstance(n, str) and n[0] != "a":
+                order.append(n)
+                for x in n[1]:
+                    walk(x)
+        walk(page)
+        assert np.allclose(density[1:], [plain_density(n, share) for n in order])
+        assert np.allclose(total[1:], [sum(plain_density(x, share) for x in n[1] if not isinstance(x, str) and x[0] != "a") for n in order])
+
+
+def test_density_decides(monkeypatch):
+    """With every part that HTML does not rule out the text is another: names alone remove nothing."""
+    page = "<body><div class=ad>Buy this now</div><div>" + f"<p>{'Words of the article. ' * 9}</p>" * 4 + "</div><div class=related>More <a href=x>here</a></div>"
+    text = extract_text(page)
+    assert "Buy" not in text and "here" not in text and text.count("article") == 36
+    monkeypatch.setattr(html_extraction, "content_nodes", lambda tree: [not s for s in tree.skip])
+    assert "Buy this now" in extract_text(page)
+
+
 def test_html_table(spark):
     rows = [(1, "u", "<p>x y</p>", 5), (1, "u", "<p>x y</p>", 5), (None, None, None, None)]
     df = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING, text INT")
