@@ -142,6 +142,43 @@ def test_embeddings(spark, monkeypatch, tile):
     assert embedding_dedup.embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_passes_grow_with_the_table():
+    n = [embedding_dedup.passes_for(k, 0.9, 128) for k in (0, 100, 10_000, 100_000, 1_000_000, 10**9)]
+    assert n == sorted(n) and n[0] == 1 and n[-1] < 200
+
+
+def test_forest_connects_what_windows_link():
+    rnd = np.random.default_rng(7)
+    x = rnd.standard_normal((300, 3))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for window, done in ((1, 0), (7, 3), (300, 0), (500, 0)):
+        links = [(i, j) for j in range(done, 300) for i in range(max(0, j - window), j) if x[i] @ x[j] >= 0.9]
+        at, first = embedding_dedup.forest(x, window, 0.9, done)
+        want = brute.components(range(300), links)
+        assert dict(zip(at.tolist(), first.tolist())) == {i: c for i, c in want.items() if c != i}
+
+
+def test_neighbours_across_ranges(spark):
+    """One pass whose window is longer than a range: pairs on the two sides of a border are found."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rnd = np.random.default_rng(8)
+        centre = rnd.standard_normal(16)
+        rows = [(i, 4, (centre + rnd.standard_normal(16) * 0.05).astype("<f4").tobytes()) for i in range(60)]
+        df = spark.createDataFrame([(i, 16, v) for i, _, v in rows], "rep BIGINT, dims INT, vec BINARY")
+        links = [(r.a, r.b) for r in embedding_dedup.window_links(df, 0.9, 1, 20, "<f4").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert set(brute.components(range(60), links).values()) == {0}
+
+
+def test_repeated_vector_ids_and_clashing_columns(spark):
+    rows = [(1, [1.0, 0.0], 5, "k"), (1, [1.0, 0.0], 6, "k"), (2, [1.0, 0.01], 0, None), (None, [1.0, 0.0], 0, "x"), (3, [0.0, 1.0], 0, "x"), (4, [0.0, 2.0], 0, "x")]
+    df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>, component_id INT, kept STRING")
+    got = sorted((tuple(r) for r in embedding_dedup.embedding_dedup(df).collect()), key=repr)
+    assert got == sorted([(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (None, 0, None, True), (3, 1, 3, True), (4, 1, 3, False)], key=repr)
+
+
 def test_mixing_keeps_weights(spark):
     rows = [(i, "a" if i % 3 else ("b" if i % 2 else None)) for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id BIGINT, source STRING")
