@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pagelake.llm.common import slices
 from pagelake.llm.spaced import SpacedEncoder
 
-CHUNK_CHARS = 65_536
+CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 512
 # Added tokens and look-ahead reach no further than this from the end of a chunk.
 GUARD_CHARS = 64
@@ -94,7 +94,10 @@ def counter(path: str):
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = TOKEN_LIMIT) -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit for every row; null texts are empty, repeats stay."""
+    """doc_id, n_bytes, n_tokens, over_limit for every row; null texts are empty, repeats stay, an empty table gives an empty result.
+
+    Texts above ``CHUNK_CHARS`` characters go by overlapping chunks, however long they are; other columns are not read.
+    """
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
