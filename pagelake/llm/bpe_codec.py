@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import codecs
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -181,9 +181,10 @@ def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes_c
     return df.mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, repeats included."""
-    both = decode(encode(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), path, pattern).drop("text"), path, pattern)
+def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", also: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, repeats included, and the columns ``also`` names."""
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *also)
+    both = decode(encode(narrow, path, pattern).drop("text"), path, pattern)
     return both.select(
         "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), *also)

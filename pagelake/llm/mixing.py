@@ -107,15 +107,19 @@ def mix_positions(docs: DataFrame, id_col: str = "doc_id", source_col: str = "so
     return placed(rows, [], **how).select(F.col("id").alias("doc_id"), "source", "block", "mix_slot", "mix_order")
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The rows of ``docs`` in mixed order, columns as they are.
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          order_col: str | None = None, **how) -> DataFrame:
+    """The rows of ``docs`` in mixed order, columns as they are; ``order_col`` adds each row's place.
 
-    Places are found on ids and sources alone and meet the texts by row key; rows equal in id,
+    Tables lose the order of their rows when they are written and read, so what follows needs the
+    place. Places are found on ids and sources alone and meet the texts by row key; rows equal in id,
     source and text share the place of their least.
     """
-    k1, k2, at = fresh(docs, "llm_k1", "llm_k2", "llm_order")
+    docs = docs.drop(order_col) if order_col else docs
+    k1, k2, at = fresh(docs, "llm_k1", "llm_k2", order_col or "llm_order")
     a, b = row_key(id_col, source_col, text_col)
     rows = docs.select(F.col(source_col).alias("source"), F.col(id_col).alias("id"), a.alias("k1"), b.alias("k2"))
     places = placed(rows, ["k1", "k2"], **how).groupBy("k1", "k2").agg(F.min("mix_order").alias(at)).select(
         F.col("k1").alias(k1), F.col("k2").alias(k2), at)
-    return docs.withColumns({k1: a, k2: b}).join(places, [k1, k2]).orderBy(at).drop(k1, k2, at)
+    out = docs.withColumns({k1: a, k2: b}).join(places, [k1, k2]).orderBy(at).drop(k1, k2)
+    return out if order_col else out.drop(at)

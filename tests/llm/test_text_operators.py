@@ -208,3 +208,16 @@ def test_pipeline_stages(spark, docs, rows):
     mixed = corpus_pipeline.mix(spark, single, "")
     assert mixed.columns == docs.columns and {r.doc_id for r in mixed.collect()} == {r.doc_id for r in single.collect()}
     assert corpus_pipeline.tokens(spark, mixed, "").columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_the_mix_reaches_the_tokens(spark, docs, tmp_path):
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    result = corpus_pipeline.run(spark, str(tmp_path))
+    assert result.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "mix_order"]
+    got = sorted((r.mix_order, r.doc_id) for r in result.collect())
+    stage_of = dict(corpus_pipeline.STAGES)
+    kept = docs
+    for name in ("quality", "lines", "near_duplicates"):
+        kept = stage_of[name](spark, kept, "").cache()
+    want = sorted((r.mix_order, r.doc_id) for r in corpus_pipeline.mixing.mix_positions(kept).collect())
+    assert got == want and len({o for o, _ in got}) == len(got) > 2
