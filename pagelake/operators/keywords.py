@@ -23,14 +23,20 @@ def with_keywords(
 
 
 def term_counts(
-    df: DataFrame, keys: Sequence[str], text: str = "text", stop_words: Iterable[str] | None = None
+    df: DataFrame, keys: Sequence[str], text: str = "text", stop_words: Iterable[str] | None = None, greatest: str | None = None
 ) -> DataFrame:
-    """``keys, chunk, term, tf``: one row per one- or two-word term of a chunk."""
+    """``keys, chunk, term, tf``: one row per one- or two-word term of a chunk.
+
+    ``greatest`` adds a column with the greatest term of the chunk, by which rows can be grouped: a maximum
+    of strings is aggregated by sorting all rows, numbers are not.
+    """
     per_chunk = df.select(
         *keys,
         F.posexplode(F.transform(chunk_terms(F.col(text), stop_words), count_terms)).alias("chunk", "_counts"),
     )
-    return per_chunk.select(*keys, "chunk", F.inline("_counts").alias("tf", "term"))
+    # Terms are in order.
+    last = [F.get("_counts", F.size("_counts") - 1)["term"].alias(greatest)] if greatest else []
+    return per_chunk.select(*keys, "chunk", *last, F.inline("_counts").alias("tf", "term"))
 
 
 def ranked_terms(

@@ -163,3 +163,15 @@ def test_own_stop_words(spark, stops):
     got = run(spark, texts, t=tokens(F.col("text"), stops))
     for i, text in enumerate(texts):
         assert got[i].t == [w for w in re.findall(r"\w\w+", text.lower()) if w not in stops]
+
+
+def test_term_table_is_summed_up_without_sorting_it(spark, tmp_path, plan_of):
+    from pagelake.plans.queries import QUERIES
+
+    rows = [(1, "zebra apple zebra"), (1, "zoo apple"), (2, None), (3, "")]
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING").write.parquet(str(tmp_path / "documents.parquet"))
+    df = QUERIES["term_counts"](spark, str(tmp_path))
+    # One doc_id twice: both texts count. Terms: zebra 2, apple, zebra apple, apple zebra; zoo, apple, zoo apple.
+    assert [tuple(r) for r in df.collect()] == [(1, 0, 7, 8, 2, "zoo apple")]
+    below = plan_of(df).split("inline")[0].rsplit("HashAggregate", 1)
+    assert len(below) == 2 and "Sort " not in below[1] and "SortAggregate" not in below[1]
