@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     # Duplicate state of a stream lives on disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Rows here are costly, and a small shuffle may leave many files, so it still uses every core (default 1 MB).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 
@@ -29,8 +31,6 @@ def build_session(app_name: str = "pagelake", cores: int | str = "*", **conf: st
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        # Rows here are costly, so small local shuffles still use every core (default 1 MB).
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -45,7 +45,7 @@ def drop_seen_within(
     Copies are reduced to sightings inside the tasks that read them, so a text that is copied
     without end sends a row per Arrow batch and sighting to the task that owns it.
     """
-    keys, ttl = scope_keys(scope), ttl_seconds * MICROS
+    keys, ttl, columns = scope_keys(scope), ttl_seconds * MICROS, stream.columns
     timed = stream.withWatermark(event_time, lateness).withColumns({
         "_at": F.unix_micros(event_time), "_last": F.unix_micros(event_time),
     })
@@ -61,15 +61,20 @@ def drop_seen_within(
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(frames)).sort_values(["_at", order], kind="stable")
+        parts = list(frames)
+        rows = parts[0] if len(parts) == 1 else pd.concat(parts)
+        # Most texts come up once in a batch; pandas is slow for one row.
+        if len(rows) > 1:
+            rows = rows.sort_values(["_at", order], kind="stable")
         last = state.get[0] if state.exists else None
         passed = []
         for start, end in zip(rows["_at"].tolist(), rows["_last"].tolist()):
             passed.append(last is None or start - last >= ttl)
             last = end if last is None else max(last, end)
         state.update((last,))
-        state.setTimeoutTimestamp(-(-(last + ttl) // 1000))
-        yield rows[passed].drop(columns=["_at", "_last"])
+        # A row may lie behind the watermark by more than ttl: Spark drops only what the batch before knew to be late.
+        state.setTimeoutTimestamp(max(-(-(last + ttl) // 1000), state.getCurrentWatermarkMs() + 1))
+        yield (rows if all(passed) else rows[passed])[columns]
 
     return timed.mapInArrow(reduce, timed.schema).groupBy(*keys).applyInPandasWithState(
         merge, T.StructType(stream.schema.fields), "last BIGINT", "append", GroupStateTimeout.EventTimeTimeout

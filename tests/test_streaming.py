@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagelake.operators.dedup import drop_duplicates
 from pagelake.operators.features import page_features
+from pagelake.plans.queries import QUERIES
 from pagelake.sinks.zones import write_zone
 from pagelake.sources.datasets import read_zone
 from pagelake.streaming import pages as stream
@@ -175,3 +176,32 @@ def test_metrics_of_a_stream(spark, tmp_path):
     rows = stream.batch_metrics(query, "r")
     assert sum(value for _, _, name, value in rows if name == "input_rows") == 300
     assert {r[1] for r in rows} >= {0, 1, 2} and any(name == "state_rows" and value > 0 for _, _, name, value in rows)
+
+
+def test_bounded_dedup_outlives_files_out_of_order(spark, tmp_path):
+    """The second file lies behind the first by more than the memory, the third copies the second."""
+    for minutes in (500, 0, 505):
+        spark.createDataFrame([("s", f"u{minutes}", f"h{minutes % 10}", T0 + timedelta(minutes=minutes), minutes)], ROW).coalesce(1).write.mode(
+            "append").parquet(str(tmp_path / "in"))
+    pages = stream.page_stream(spark, str(tmp_path / "in"), ROW, max_files=1)
+    got = run(drop_seen_within(pages, 60, "ts", "fetch_order"), tmp_path)
+    assert {r.url for r in got.collect()} >= {"u500", "u505"}
+
+
+def test_document_parts_of_several_files_stay_in_order(spark, tmp_path):
+    """Four parts of several files each: the later ids of a part come first."""
+    rows = [(i, f"t{i % 40}", "en", f"s{i % 2}", 1) for i in reversed(range(2000))]
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT").repartitionByRange(
+        8, F.desc("doc_id")).write.parquet(str(tmp_path / "documents.parquet"))
+    with_conf = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        got = QUERIES["stream_dedup_bounded"](spark, str(tmp_path))
+        runs = QUERIES["stream_runs"](spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", with_conf)
+    # Every text comes up again after 40 minutes, within the memory of 100.
+    assert sorted(r.doc_id for r in got.collect()) == list(range(40))
+    assert sorted((r.run_id, r.doc_id) for r in runs.collect()) == sorted(("run-1", i) for i in range(2000))
+    batches = {p.name for p in tmp_path.rglob("batch_id=*")} | {f.rsplit("batch_id=", 1)[1].split("/")[0] for f in runs.inputFiles()}
+    assert len(batches) <= 4
