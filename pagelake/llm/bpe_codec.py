@@ -8,11 +8,11 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelake.llm.common import slices
 from pagelake.llm.spaced import SpacedEncoder
 
 BATCH_BYTES = 4 << 20
@@ -123,27 +123,50 @@ def decode_stream(ids: Iterable[int], table: list[bytes]) -> Iterator[str]:
         yield text
 
 
+def texts_of(column: pa.Array) -> Iterator[tuple[range, list[str]]]:
+    """The texts of an Arrow column, null as empty, in parts of about BATCH_BYTES: only one part at a time is made of Python strings."""
+    for part in parts_of(column):
+        yield part, [t or "" for t in column.slice(part.start, len(part)).to_pylist()]
+
+
+def parts_of(column: pa.Array) -> Iterator[range]:
+    """Consecutive row ranges of about BATCH_BYTES each, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends, start = np.cumsum(sizes, dtype=np.int64), 0
+    while start < len(sizes):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + BATCH_BYTES, "right")))
+        yield range(start, end)
+        start = end
+
+
+def decoded_of(ids: Iterable[bytes | None], table: Sequence[bytes]) -> pa.Array:
+    """The bytes of each row's ids; null ids give none."""
+    piece = table.__getitem__
+    return pa.array([b"".join(map(piece, np.frombuffer(i or b"", "<u4").tolist())) for i in ids], pa.binary())
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",
-           offsets_col: str | None = None) -> DataFrame:
+           offsets_col: str | None = None, bytes_col: str | None = None) -> DataFrame:
     """``docs`` with ``ids_col``: the text's ids as little-endian 32-bit integers.
 
-    ``offsets_col`` adds the code point span of every id. Null and empty texts have no ids. Texts of
+    ``offsets_col`` adds the code point span of every id, ``bytes_col`` what ``decode`` makes of the ids, in the same
+    pass: a worker of its own for that would hold all of its batches and tables beside this one. Null and empty texts have no ids. Texts of
     any length are whole; a batch is worked through in parts of about 4 MB. Only the text column
     goes through Python with the others unchanged; rows keep their order.
     """
-    drop = [c for c in docs.columns if c in (ids_col, offsets_col)]
+    drop = [c for c in docs.columns if c in (ids_col, offsets_col, bytes_col)]
     docs = docs.drop(*drop)
     schema = T.StructType([*docs.schema.fields, T.StructField(ids_col, T.BinaryType())])
     if offsets_col:
         schema = schema.add(offsets_col, T.ArrayType(T.ArrayType(T.IntegerType())))
+    if bytes_col:
+        schema = schema.add(bytes_col, T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, encoder, _ = codec(path, pattern)
+        tok, encoder, table = codec(path, pattern)
         for batch in batches:
-            raw = batch.column(batch.schema.get_field_index(text_col))
-            sizes = raw.cast(pa.large_string()).to_pylist()
-            for part in slices([t or "" for t in sizes], BATCH_BYTES):
-                texts = [sizes[i] or "" for i in part]
+            for part, texts in texts_of(batch.column(batch.schema.get_field_index(text_col))):
                 out = batch.slice(part.start, len(part))
                 if offsets_col:
                     found = [tok.encode(t) for t in texts]
@@ -155,6 +178,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
                 if offsets_col:
                     columns.append(pa.array([[list(o) for o in e.offsets] for e in found], pa.list_(pa.list_(pa.int32()))))
                     names.append(offsets_col)
+                if bytes_col:
+                    columns.append(decoded_of(ids, table))
+                    names.append(bytes_col)
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.mapInArrow(run, schema)
@@ -170,13 +196,13 @@ def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes_c
     schema = T.StructType([*df.schema.fields, T.StructField(bytes_col, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = codec(path, pattern)[2].__getitem__
+        table = codec(path, pattern)[2]
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
-            for part in slices([i or b"" for i in ids], BATCH_BYTES):
+            ids = batch.column(batch.schema.get_field_index(ids_col))
+            for part in parts_of(ids):
                 out = batch.slice(part.start, len(part))
-                text = [b"".join(map(table, np.frombuffer(ids[i] or b"", "<u4").tolist())) for i in part]
-                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(text, pa.binary())], [*out.schema.names, bytes_col])
+                found = decoded_of(ids.slice(part.start, len(part)).to_pylist(), table)
+                yield pa.RecordBatch.from_arrays([*out.columns, found], [*out.schema.names, bytes_col])
 
     return df.mapInArrow(run, schema)
 
@@ -184,7 +210,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes_c
 def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", also: Sequence[str] = ()) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, repeats included, and the columns ``also`` names."""
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *also)
-    both = decode(encode(narrow, path, pattern).drop("text"), path, pattern)
+    both = encode(narrow, path, pattern, bytes_col="decoded").drop("text")
     return both.select(
         "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), *also)

@@ -221,3 +221,21 @@ def test_the_mix_reaches_the_tokens(spark, docs, tmp_path):
         kept = stage_of[name](spark, kept, "").cache()
     want = sorted((r.mix_order, r.doc_id) for r in corpus_pipeline.mixing.mix_positions(kept).collect())
     assert got == want and len({o for o, _ in got}) == len(got) > 2
+
+
+def test_codec_takes_one_worker_a_task(docs, plan_of, monkeypatch):
+    assert plan_of(bpe_codec.digests(docs, PATH, PATTERN)).count("MapInArrow") == 1
+    apart = bpe_codec.decode(bpe_codec.encode(docs, PATH, PATTERN), PATH, PATTERN)
+    monkeypatch.setattr(bpe_codec, "BATCH_BYTES", 3)
+    together = bpe_codec.encode(docs, PATH, PATTERN, bytes_col="decoded")
+    assert together.columns == apart.columns and got(together) == got(apart)
+
+
+def test_parts_of_a_batch(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(bpe_codec, "BATCH_BYTES", 4)
+    column = pa.array(["x", "abcdefgh", None, "ab", "", "cd", "é", "z"]).slice(1)
+    parts = list(bpe_codec.texts_of(column))
+    assert [t for _, part in parts for t in part] == ["abcdefgh", "", "ab", "", "cd", "é", "z"]
+    assert [i for r, _ in parts for i in r] == list(range(7)) and [len(r) for r, _ in parts] == [1, 4, 2]
