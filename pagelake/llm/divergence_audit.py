@@ -1,7 +1,8 @@
 """Source divergence audit by chunk factorization.
 
 White-space chunks are counted per document, each distinct chunk is tokenized once, and its terms are joined
-back. Occurrences of a term are sums over its chunks. Its documents are not: one may hold several of its
+back. Chunks count in lower case and without what stands around their first and last term, which leaves their terms as they are and
+makes far fewer of them distinct. Occurrences of a term are sums over its chunks. Its documents are not: one may hold several of its
 chunks. Two bounds settle most terms, since a term has at least the documents of its commonest chunk and at
 most the sum over its chunks; only where the limit lies between both are single documents compared, in a second pass.
 """
@@ -9,7 +10,7 @@ most the sum over its chunks; only where the limit lies between both are single
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,8 @@ from pagelake.session import BucketedTable, new_scratch
 MIN_DOCS, TOP_TERMS, SMOOTHING = 30, 50, 5
 # A term: a run of ASCII letters and of characters beyond ASCII; only A-Z are lower-cased.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# ASCII without letters: no term has any of it.
+AROUND = bytes(b for b in range(128) if not chr(b).isalpha())
 # Entries that a task counts before it sends them on, and text whose chunks meet the filters at a time.
 ENTRIES, SLICE_BYTES = 1_500_000, 4 << 20
 # Bits of a filter per chunk, and at most; beyond that it only lets more rows through.
@@ -42,6 +44,13 @@ def text_of(keys: list[bytes]) -> pa.Array:
     return pa.array(keys, pa.binary()).cast(pa.string())
 
 
+def folded(words: Iterable[bytes]) -> set[bytes]:
+    """The distinct chunks of lower-case words: from the first term to the last, so words without a term have none."""
+    chunks = {word.strip(AROUND) for word in words}
+    chunks.discard(b"")
+    return chunks
+
+
 def chunk_counts(docs: DataFrame) -> DataFrame:
     """lang, source, chunk, docs, n: documents with the chunk, and its occurrences.
 
@@ -52,10 +61,14 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
         groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (held, n) in groups.items():
+            for (lang, source), (held, words) in groups.items():
+                n = dict.fromkeys(held, 0)
+                for word, times in words.items():
+                    if chunk := word.strip(AROUND):
+                        n[chunk] += times
                 yield pa.RecordBatch.from_arrays(
                     [pa.repeat(lang, len(n)), pa.repeat(source, len(n)), text_of(list(n)),
-                     pa.array(list(map(held.__getitem__, n)), pa.int64()), pa.array(list(n.values()), pa.int64())],
+                     pa.array(list(held.values()), pa.int64()), pa.array(list(n.values()), pa.int64())],
                     ["lang", "source", "chunk", "docs", "n"])
             groups.clear()
 
@@ -65,10 +78,10 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
                 held, n = groups.setdefault((lang, source), (Counter(), Counter()))
                 distinct: set[bytes] = set()
                 for piece in pieces(text):
-                    words = piece.split()
+                    words = piece.lower().split()
                     n.update(words)
                     distinct.update(words)
-                held.update(distinct)
+                held.update(folded(distinct))
                 since += len(distinct)
                 if since > ENTRIES // 16:
                     since = 0
@@ -85,7 +98,7 @@ def tokenized(chunks: DataFrame) -> DataFrame:
     """lang, chunk, docs, term, k: each distinct chunk tokenized once, its terms and how often it holds each with its documents by language."""
     by_lang = chunks.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
     each = by_lang.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("ls")).select(
-        "chunk", "ls", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0)).alias("ts"))
+        "chunk", "ls", F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0)).alias("ts"))
     counted = F.when(F.size("ts") < 2, F.transform("ts", lambda t: F.struct(t.alias("term"), F.lit(1).alias("k")))).otherwise(
         F.transform(F.array_distinct("ts"), lambda t: F.struct(t.alias("term"), F.size(F.filter("ts", lambda x: x == t)).alias("k"))))
     terms = each.select("chunk", "ls", F.explode(counted).alias("_t"))
@@ -130,11 +143,13 @@ def holders(docs: DataFrame, wanted: bytes) -> DataFrame:
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
             for part in slices(texts, SLICE_BYTES):
-                distinct = [set().union(*(piece.split() for piece in pieces(texts[i]))) for i in part]
-                found = set(possibly_in(list(set().union(*distinct)), shared.value))
+                distinct = [set().union(*(piece.lower().split() for piece in pieces(texts[i]))) for i in part]
+                every = set().union(*distinct)
+                found = set(possibly_in(list(folded(every)), shared.value))
+                ends = {word for word in every if word.strip(AROUND) in found} if found else found
                 found_langs, chunks, rows = [], [], []
                 for i, words in zip(part, distinct):
-                    own = words & found
+                    own = folded(words & ends)
                     chunks += own
                     found_langs += [langs[i]] * len(own)
                     rows += [row] * len(own)

@@ -232,3 +232,18 @@ def test_filter_knows_its_chunks(spark):
     assert len(audit.possibly_in([f"no{i}".encode() for i in range(10_000)], made)) < 300
     assert audit.possibly_in([], made) == []
     assert audit.possibly_in(chunks, audit.filter_bits(spark.createDataFrame([], "chunk STRING"))) == []
+
+
+def test_audit_counts_chunks_without_case_and_what_surrounds_them(spark):
+    texts = ["Word, (word) WORD. 12 -- word", "É,x éX É,X;", "a-b \"A-B\" a b", None]
+    docs = spark.createDataFrame([("en", "s", x) for x in texts], "lang STRING, source STRING, text STRING")
+    counted = {(r.chunk, r.docs, r.n) for r in audit.chunk_counts(audit.normal(docs)).collect()}
+    assert counted == {("word", 1, 4), ("É,x", 1, 2), ("éx", 1, 1), ("a-b", 1, 2), ("a", 1, 1), ("b", 1, 1)}
+
+
+def test_audit_compares_documents_of_chunks_with_several_terms(spark):
+    # Term t: 2 documents with t, 2 with t-u, 2 with u-t; 4 documents or 3.
+    texts = ["T, t-u", "(t) U-T.", "t-u", "u-t"]
+    for texts, want in ((texts, {"t", "u"}), (texts[:2] + ["t-u u-t"], set())):
+        docs = spark.createDataFrame([("en", "s", x) for x in texts], "lang STRING, source STRING, text STRING")
+        assert {r.term for r in audit.kept_terms(audit.normal(docs), 4).collect()} == want
