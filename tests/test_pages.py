@@ -184,3 +184,26 @@ def test_filters_reach_the_scan_and_the_parse_runs_once(spark, plan_of, tmp_path
     plan = plan_of(df.select("text", "links", "images"))
     assert plan.count("ArrowEvalPython") == 1
     assert "EqualTo(site," in plan
+
+
+def test_plain_links_are_not_joined(monkeypatch):
+    from urllib.parse import urljoin
+
+    from pagelake.functions import html as parser
+
+    pages = ["https://en.example.org/doc/4?q#f", "HTTP://User@Host:80", "http:///x", "ftp://h/a", "", None, "//h/a/b", "http://[x/"]
+    refs = ["/doc/4", "/a/b/", "/a//b", "//h/x", "/", "/a/../b", "/a;p", "/a?q", "/a#f", "a", "/a.b", "/a b", " /a", "/a\n", "/é", ""]
+
+    def joined(page, ref):
+        try:
+            return urljoin(page or "", ref)
+        except ValueError:
+            return None
+
+    for page in pages:
+        for ref in refs:
+            assert parser._resolve(page, ref, parser._origin(page)) == joined(page, ref), (page, ref)
+    calls = []
+    monkeypatch.setattr(parser, "urljoin", lambda *a: calls.append(a) or urljoin(*a))
+    found = parser.parse_page('<a href="/doc/1"></a><a href="x"></a>', pages[0], pages[0])["links"]
+    assert [x["url"] for x in found] == ["https://en.example.org/doc/1", "https://en.example.org/doc/x"] and len(calls) == 1
