@@ -175,3 +175,16 @@ def test_term_table_is_summed_up_without_sorting_it(spark, tmp_path, plan_of):
     assert [tuple(r) for r in df.collect()] == [(1, 0, 7, 8, 2, "zoo apple")]
     below = plan_of(df).split("inline")[0].rsplit("HashAggregate", 1)
     assert len(below) == 2 and "Sort " not in below[1] and "SortAggregate" not in below[1]
+
+
+def test_ranking_has_no_lambda_per_term(spark, plan_of):
+    from pagelake.functions.terms import top_terms
+
+    lists = [["b b", "b", "bb", "b", "a", "b b"], ["z", "y", "x"], ["é", "éa", "é", "é a", "éa"], []]
+    df = spark.createDataFrame([(x,) for x in lists], "t ARRAY<STRING>")
+    found = df.select(top_terms(F.col("t"), 3).alias("k"))
+    want = [sorted(((x.count(t), t) for t in set(x)), key=lambda c: (-c[0], c[1]))[:3] for x in lists]
+    assert [[tuple(c) for c in r.k] for r in found.collect()] == want
+    # Neighbours are compared by a pattern, and stop words are no part of the words' pattern.
+    assert "sequence(" not in plan_of(found)
+    assert "(?!" not in plan_of(spark.createDataFrame([("a",)], "text STRING").select(tokens(F.col("text"), ["the"])))
