@@ -9,11 +9,11 @@ most the sum over its chunks; only where the limit lies between both are single
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +26,11 @@ MIN_DOCS, TOP_TERMS, SMOOTHING = 30, 50, 5
 # A term: a run of ASCII letters and of characters beyond ASCII; only A-Z are lower-cased.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 # ASCII without letters: no term has any of it.
-AROUND = bytes(b for b in range(128) if not chr(b).isalpha())
-# Entries that a task counts before it sends them on, and text whose chunks meet the filters at a time.
-ENTRIES, SLICE_BYTES = 1_500_000, 4 << 20
+NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]"
+AROUND = "".join(chr(b) for b in range(128) if not chr(b).isalpha())
+# Counts that a task keeps summed up before it sends them on, so many rows at a time, and text whose words it holds at a time.
+SUM_BYTES, BATCH_ROWS, SLICE_BYTES = 64 << 20, 1 << 16, 4 << 20
+GROUP_COLUMNS = ["group", "chunk", "docs", "n"]
 # Bits of a filter per chunk, and at most; beyond that it only lets more rows through.
 BITS_PER_KEY, MOST_BITS, PROBES = 12, 1 << 26, 4
 # Counts in one matrix of sources and terms, terms in it at least, and sources compared with all others by one task.
@@ -40,54 +42,92 @@ def normal(docs: DataFrame) -> DataFrame:
     return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
 
 
-def text_of(keys: list[bytes]) -> pa.Array:
-    return pa.array(keys, pa.binary()).cast(pa.string())
+def chunks_of(texts: pa.Array, wanted: Callable[[pa.Array], np.ndarray] | None = None) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct chunks, and by text and place among them, in that order, how often the text holds the chunk.
 
-
-def folded(words: Iterable[bytes]) -> set[bytes]:
-    """The distinct chunks of lower-case words: from the first term to the last, so words without a term have none."""
-    chunks = {word.strip(AROUND) for word in words}
-    chunks.discard(b"")
-    return chunks
+    A chunk is a lower-case word from its first term to its last, so words without a term have none. ``wanted`` says
+    which of the distinct chunks count.
+    """
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    row = np.repeat(np.arange(len(texts)), np.diff(words.offsets.to_numpy()))
+    found = pc.ascii_trim(words.flatten(), AROUND).dictionary_encode()
+    chunks, at = found.dictionary, found.indices.to_numpy()
+    use = pc.not_equal(chunks, "").to_numpy(zero_copy_only=False)
+    if wanted is not None:
+        use &= wanted(chunks)
+    if not use.all():
+        row, at = row[use[at]], at[use[at]]
+    each, times = np.unique(row * max(1, len(chunks)) + at, return_counts=True)
+    return chunks, *np.divmod(each, max(1, len(chunks))), times
+
+
+def summed(tables: list[pa.Table], keys: list[str]) -> pa.Table:
+    """One table of tables that have a row per ``keys``, their other columns summed."""
+    if len(tables) == 1:
+        return tables[0]
+    values = [c for c in tables[0].column_names if c not in keys]
+    sums = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([(c, "sum") for c in values])
+    return sums.select([*keys, *(f"{c}_sum" for c in values)]).rename_columns([*keys, *values])
+
+
+def sliced(column: pa.Array) -> Iterator[tuple[range, list[pa.Array]]]:
+    """Consecutive texts of about SLICE_BYTES; one longer than that comes alone, in pieces."""
+    texts = utf8(column)
+    for part in slices(texts, SLICE_BYTES):
+        if len(texts[part.start]) > SLICE_BYTES:
+            yield part, [pa.array([piece], pa.string()) for piece in pieces(texts[part.start])]
+        else:
+            yield part, [column.slice(part.start, len(part)).cast(pa.string())]
+
+
+def chunks_by_group(group: np.ndarray, texts: list[pa.Array]) -> pa.Table:
+    """group, chunk, docs, n of texts whose groups are given, or of one text in pieces."""
+    if len(texts) == 1:
+        chunks, row, at, times = chunks_of(texts[0])
+        every, place, docs = np.unique(group[row] * max(1, len(chunks)) + at, return_inverse=True, return_counts=True)
+        of, at = np.divmod(every, max(1, len(chunks)))
+        n = np.bincount(place, times, len(every)).astype(np.int64)
+        return pa.table([pa.array(of), chunks.take(pa.array(at)), pa.array(docs), pa.array(n)], GROUP_COLUMNS)
+    held = pa.table([pa.array([], pa.string()), pa.array([], pa.int64())], ["chunk", "n"])
+    for piece in texts:
+        chunks, _, at, times = chunks_of(piece)
+        held = summed([held, pa.table([chunks.take(pa.array(at)), pa.array(times)], ["chunk", "n"])], ["chunk"])
+    one = np.ones(len(held), np.int64)
+    return pa.table([pa.array(one * group[0]), held["chunk"], pa.array(one), held["n"]], GROUP_COLUMNS)
 
 
 def chunk_counts(docs: DataFrame) -> DataFrame:
     """lang, source, chunk, docs, n: documents with the chunk, and its occurrences.
 
-    A task sums up what it reads, so a chunk that stands everywhere sends a row per group and ENTRIES counts.
+    A task sums up what it reads, so a chunk that stands everywhere sends a row per group and SUM_BYTES of counts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (held, words) in groups.items():
-                n = dict.fromkeys(held, 0)
-                for word, times in words.items():
-                    if chunk := word.strip(AROUND):
-                        n[chunk] += times
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(lang, len(n)), pa.repeat(source, len(n)), text_of(list(n)),
-                     pa.array(list(held.values()), pa.int64()), pa.array(list(n.values()), pa.int64())],
-                    ["lang", "source", "chunk", "docs", "n"])
-            groups.clear()
-
-        since = 0
+        groups: dict[tuple[str, str], int] = {}
+        sums: list[pa.Table] = []
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            langs, sources = (pa.array(names, pa.string()) for names in zip(*groups))
+            for part in sums[0].to_batches(max_chunksize=BATCH_ROWS):
+                group, *rest = part.columns
+                yield pa.RecordBatch.from_arrays([langs.take(group), sources.take(group), *rest], ["lang", "source", *GROUP_COLUMNS[1:]])
+
         for batch in batches:
-            for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))):
-                held, n = groups.setdefault((lang, source), (Counter(), Counter()))
-                distinct: set[bytes] = set()
-                for piece in pieces(text):
-                    words = piece.lower().split()
-                    n.update(words)
-                    distinct.update(words)
-                held.update(folded(distinct))
-                since += len(distinct)
-                if since > ENTRIES // 16:
-                    since = 0
-                    if sum(len(n) for _, n in groups.values()) > ENTRIES:
-                        yield from flush()
-        yield from flush()
+            group = np.array([groups.setdefault(g, len(groups)) for g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())], np.int64)
+            for part, texts in sliced(batch.column(2)):
+                sums.append(chunks_by_group(group[part.start:part.stop], texts))
+                if sum(table.nbytes for table in sums) > 2 * SUM_BYTES:
+                    sums = [summed(sums, GROUP_COLUMNS[:2])]
+                    if sums[0].nbytes > SUM_BYTES:
+                        yield from sent()
+                        sums = []
+        if sums:
+            sums = [summed(sums, GROUP_COLUMNS[:2])]
+            # A Python worker stays for later tasks; what Arrow holds beyond the sums goes back.
+            pa.default_memory_pool().release_unused()
+            yield from sent()
+            sums = []
+        pa.default_memory_pool().release_unused()
 
     parts = docs.mapInArrow(run, "lang string, source string, chunk string, docs long, n long")
     # Rows of a chunk meet where its bucket is written.
@@ -97,8 +137,9 @@ def chunk_counts(docs: DataFrame) -> DataFrame:
 def tokenized(chunks: DataFrame) -> DataFrame:
     """lang, chunk, docs, term, k: each distinct chunk tokenized once, its terms and how often it holds each with its documents by language."""
     by_lang = chunks.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
-    each = by_lang.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("ls")).select(
-        "chunk", "ls", F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0)).alias("ts"))
+    # Most chunks are a term as they stand, which is cheaper to see than to extract.
+    terms = F.when(F.col("chunk").rlike(NO_TERM), F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))).otherwise(F.array("chunk"))
+    each = by_lang.groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("ls")).select("chunk", "ls", terms.alias("ts"))
     counted = F.when(F.size("ts") < 2, F.transform("ts", lambda t: F.struct(t.alias("term"), F.lit(1).alias("k")))).otherwise(
         F.transform(F.array_distinct("ts"), lambda t: F.struct(t.alias("term"), F.size(F.filter("ts", lambda x: x == t)).alias("k"))))
     terms = each.select("chunk", "ls", F.explode(counted).alias("_t"))
@@ -138,23 +179,20 @@ def holders(docs: DataFrame, wanted: bytes) -> DataFrame:
     """lang, chunk, row: the documents that hold chunks of the filter; ``row`` tells a document from others of this scan."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
+    def wanted_of(chunks: pa.Array) -> np.ndarray:
+        found = possibly_in(chunks.cast(pa.binary()).to_pylist(), shared.value)
+        return pc.is_in(chunks, pa.array(found, pa.binary()).cast(chunks.type)).to_numpy(zero_copy_only=False)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
+        first = TaskContext.get().partitionId() << 40
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), utf8(batch.column(1))
-            for part in slices(texts, SLICE_BYTES):
-                distinct = [set().union(*(piece.lower().split() for piece in pieces(texts[i]))) for i in part]
-                every = set().union(*distinct)
-                found = set(possibly_in(list(folded(every)), shared.value))
-                ends = {word for word in every if word.strip(AROUND) in found} if found else found
-                found_langs, chunks, rows = [], [], []
-                for i, words in zip(part, distinct):
-                    own = folded(words & ends)
-                    chunks += own
-                    found_langs += [langs[i]] * len(own)
-                    rows += [row] * len(own)
-                    row += 1
-                yield pa.RecordBatch.from_arrays([pa.array(found_langs, pa.string()), text_of(chunks), pa.array(rows, pa.int64())], ["lang", "chunk", "row"])
+            for part, texts in sliced(batch.column(1)):
+                for some in texts:
+                    chunks, row, at, _ = chunks_of(some, wanted_of)
+                    row += part.start
+                    yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()).take(pa.array(row)), chunks.take(pa.array(at)), pa.array(first + row)], ["lang", "chunk", "row"])
+            first += len(batch)
+        pa.default_memory_pool().release_unused()
 
     return docs.select("lang", "text").mapInArrow(run, "lang string, chunk string, row long")
 
@@ -166,14 +204,15 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS, label: str = "divergen
         chunks = table.read()
         joined = written(tokenized(chunks), f"{label}-joined")
         bounds = joined.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most")).filter(F.col("most") >= min_docs)
-        possible = written(joined.join(bounds, ["lang", "term"]).select("lang", "chunk", "term", "k", (F.col("least") >= min_docs).alias("sure")), f"{label}-terms")
+        # Of few rows by key and many, the many need no sort.
+        possible = written(joined.join(bounds.hint("shuffle_hash"), ["lang", "term"]).select("lang", "chunk", "term", "k", (F.col("least") >= min_docs).alias("sure")), f"{label}-terms")
         unsure = possible.filter("not sure").select("lang", "chunk", "term", "k")
         held = holders(docs, filter_bits(unsure.select("chunk").distinct())).join(unsure.drop("k"), ["lang", "chunk"]).select("lang", "term", "row").distinct()
         enough = held.groupBy("lang", "term").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
         kept = possible.filter("sure").drop("sure").unionByName(unsure.join(enough.select("lang", "term"), ["lang", "term"], "left_semi"))
         # One row per chunk, with its languages and terms, meets the counts in their buckets.
         by_chunk = kept.groupBy("chunk").agg(F.collect_list(F.struct("lang", "term", "k")).alias("ts"))
-        met = chunks.join(by_chunk, "chunk").select("lang", "source", "n", F.explode("ts").alias("_t")).filter(F.col("_t.lang") == F.col("lang"))
+        met = chunks.join(by_chunk.hint("shuffle_hash"), "chunk").select("lang", "source", "n", F.explode("ts").alias("_t")).filter(F.col("_t.lang") == F.col("lang"))
         counts = met.groupBy("lang", "source", F.col("_t.term").alias("term")).agg(F.sum(F.col("n") * F.col("_t.k")).alias("n"))
         return written(counts, f"{label}-counts")
 
@@ -257,7 +296,8 @@ def divergence_audit(
         groups.select("lang", "source", F.col("sid").alias("x")), ["lang", "x"]).join(
         groups.select("lang", F.col("source").alias("item"), F.col("sid").alias("y")), ["lang", "y"])
 
-    of_lang = counts.withColumn("lang_n", F.sum("n").over(Window.partitionBy("lang", "term"))).join(here, ["lang", "source"])
+    lang_counts = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
+    of_lang = counts.join(lang_counts.hint("shuffle_hash"), ["lang", "term"]).join(here, ["lang", "source"])
     excess = of_lang.withColumn("value", share("n", "total", "terms") - share("lang_n", "lang_total", "terms")).filter("value > 0")
     ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))
     out = [
