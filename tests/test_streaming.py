@@ -205,3 +205,37 @@ def test_document_parts_of_several_files_stay_in_order(spark, tmp_path):
     assert sorted((r.run_id, r.doc_id) for r in runs.collect()) == sorted(("run-1", i) for i in range(2000))
     batches = {p.name for p in tmp_path.rglob("batch_id=*")} | {f.rsplit("batch_id=", 1)[1].split("/")[0] for f in runs.inputFiles()}
     assert len(batches) <= 4
+
+
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_bounded_dedup_of_many_texts_in_a_bucket(spark, tmp_path, buckets):
+    """Texts that share a state keep to their own times; whole numbers beyond 2**53 stay, beside rows without any."""
+    rnd, big = random.Random(buckets), 2**53 + 1
+    rows = [(rnd.choice(["s0", "s1", None]), f"u{i}", f"h{rnd.randint(0, 40)}" if i % 9 else None,
+             T0 + timedelta(minutes=2 * i // 3), i, big + i if i % 2 else None) for i in range(600)]
+    schema = f"{ROW}, n BIGINT"
+    for k in range(4):
+        part = rows[k * 150: (k + 1) * 150]
+        rnd.shuffle(part)
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    pages = stream.page_stream(spark, str(tmp_path / "in"), schema, max_files=1)
+    passed = drop_seen_within(pages, 1800, "ts", "fetch_order", lateness="1 day", buckets=buckets)
+    assert passed.schema == pages.schema
+    got = run(passed, tmp_path).collect()
+    assert sorted((r.fetch_order, r.n, r.content_hash, r.ts) for r in got) == sorted(
+        (r[4], r[5], r[2], r[3]) for r in remembered(rows, 1800))
+
+
+def test_bounded_dedup_calls_python_by_bucket(spark, tmp_path):
+    """As many states as buckets, however many texts; all go when nothing came up for the time."""
+    for k, minutes in enumerate((0, 100)):
+        spark.range(k * 4000, (k + 1) * 4000).select(
+            F.lit("s").alias("site"), F.md5(F.col("id").cast("string")).alias("content_hash"),
+            (F.lit(T0) + F.make_dt_interval(mins=F.lit(minutes))).alias("ts"), F.col("id").alias("fetch_order"),
+        ).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    pages = stream.page_stream(spark, str(tmp_path / "in"), "site STRING, content_hash STRING, ts TIMESTAMP, fetch_order BIGINT", max_files=1)
+    query = drop_seen_within(pages, 60, "ts", "fetch_order", buckets=64).writeStream.format("memory").queryName("buckets").option(
+        "checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("buckets").count() == 8000
+    assert max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]) == 64
