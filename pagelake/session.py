@@ -43,6 +43,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside are adaptive; the session's own setting is put back."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the cluster (``spark.checkpoint.dir``).
 

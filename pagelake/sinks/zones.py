@@ -109,7 +109,9 @@ def write_zone(
     check_format(fmt)
     out = with_partitions(df, source, on, run_id, batch_id)
     if compact:
-        out = out.hint("rebalance", *PARTITIONS)
+        # Spark ignores the hint without AQE, and every task would leave a file in every partition.
+        on = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+        out = out.hint("rebalance", *PARTITIONS) if on else out.repartition(*PARTITIONS)
     return write_dataset(out, f"{root}/{zone}", fmt, REPLACE, PARTITIONS, rows_per_file)
 
 

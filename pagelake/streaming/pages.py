@@ -14,6 +14,7 @@ from pagelake.operators.features import with_text_features
 from pagelake.operators.frontier import FAILED, NEW
 from pagelake.operators.pages import assemble
 from pagelake.operators.reports import crawl_summary, sitemap
+from pagelake.session import adaptive
 from pagelake.sinks.zones import TEXT_PROCESSED, new_run, write_report, write_zone
 from pagelake.sources.datasets import read_zone
 from pagelake.streaming.dedup import drop_seen_within
@@ -69,7 +70,9 @@ def stream_to_zone(
     run = new_run() if run_id is None else run_id
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_zone(batch, root, zone, F.col(source), F.col(event_time), fmt, run_id=run, batch_id=batch_id)
+        # Spark plans a stream with state without AQE, where a zone's rows are not laid out by partition; the tasks with state are fixed by now.
+        with adaptive(batch.sparkSession):
+            write_zone(batch, root, zone, F.col(source), F.col(event_time), fmt, run_id=run, batch_id=batch_id)
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

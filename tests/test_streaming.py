@@ -239,3 +239,20 @@ def test_bounded_dedup_calls_python_by_bucket(spark, tmp_path):
     query.awaitTermination()
     assert spark.table("buckets").count() == 8000
     assert max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]) == 64
+
+
+def test_a_stream_with_state_leaves_a_file_per_partition(spark, tmp_path):
+    """Spark runs such streams without AQE; tasks must not each leave a file in each partition."""
+    rows = [(f"s{i % 3}", f"u{i}", f"h{i}", T0 + timedelta(hours=i % 48), i) for i in range(600)]
+    spark.createDataFrame(rows, ROW).write.parquet(str(tmp_path / "in"))
+    pages = stream.page_stream(spark, str(tmp_path / "in"), ROW)
+    passed = drop_seen_within(pages, 60, "ts", "fetch_order")
+    stream.stream_to_zone(passed, str(tmp_path), "raw", str(tmp_path / "state"), source="site", event_time="ts", run_id="r").awaitTermination()
+    zone = read_zone(spark, str(tmp_path), "raw", ROW)
+    assert zone.count() == 600 and len(zone.inputFiles()) == 3 * 2
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_zone(spark.read.schema(ROW).parquet(str(tmp_path / "in")).repartition(5), str(tmp_path), "batch", F.col("site"), F.col("ts"))
+        assert len(read_zone(spark, str(tmp_path), "batch", ROW).inputFiles()) == 3 * 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
