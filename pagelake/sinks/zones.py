@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from pagelake.functions.dates import ISO, date_parts
+from pagelake.sinks.folders import can_hold, local_folder, replace_folders
 
 RAW, PROCESSED, TEXT_PROCESSED = "raw", "processed", "text_processed"
 PARTITIONS = ["source", "year", "month", "day", "run_id", "batch_id"]
 FORMATS = ("json", "parquet", "csv")
 # A write mode beside Spark's own: replace the partitions that have rows, keep the others.
 REPLACE = "replace"
+JSON_OPTIONS = {"ignoreNullFields": "false", "timestampFormat": ISO}
 
 
 def check_format(fmt: str) -> str:
@@ -50,6 +52,9 @@ def write_dataset(
     ``mode`` is one of Spark's, or ``replace`` for the partitions of ``partition_by`` that ``df`` has rows for.
     """
     check_format(fmt)
+    if mode == REPLACE and partition_by and can_hold(df, fmt) and (folder := local_folder(df.sparkSession, path)):
+        replace_folders(df, path, folder, fmt, partition_by, JSON_OPTIONS, rows_per_file)
+        return path
     writer = (_flat_for_csv(df) if fmt == "csv" else df).write.format(fmt)
     if mode == REPLACE:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -60,7 +65,7 @@ def write_dataset(
     if fmt == "csv":
         writer = writer.options(header=True, escape='"', nullValue="\\N", emptyValue='""')
     if fmt == "json":
-        writer = writer.options(ignoreNullFields=False, timestampFormat=ISO)
+        writer = writer.options(**JSON_OPTIONS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if rows_per_file:

@@ -127,3 +127,54 @@ def test_scratch(spark):
 def test_schemas_are_ddl(spark):
     for name in [n for n in dir(schemas) if n.isupper()]:
         assert spark.createDataFrame([], getattr(schemas, name)).count() == 0
+
+
+def zone_rows(spark, root):
+    zone = datasets.read_zone(spark, root, "zone", f"{PAYLOAD}, at TIMESTAMP, n BIGINT, price DECIMAL(20,4)", fmt=Path(root).name)
+    return sorted(map(str, zone.collect()))
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_folders_written_by_tasks_equal_those_of_sparks_writer(spark, tmp_path, monkeypatch, fmt):
+    """Odd names, none and empty ones; two writes of a batch, the second with fewer sources; a batch beside them."""
+    names = F.array(*map(F.lit, ("a/b", "c=d%", "é ü", "", None, "tab\there", "x:y#'*?[]{}^\\\"")))
+    rows = payload(spark).withColumn("source", F.explode(names)).withColumns({
+        "at": F.lit(datetime(2023, 1, 5, 23, 59, 59, 123456)), "n": F.when(F.col("title") == "", 2**53 + 1), "price": F.lit("1.2500").cast("decimal(20,4)")})
+    day = datetime(2023, 1, 5)
+    seen = {}
+    for way in ("tasks", "spark"):
+        root = str(tmp_path / way / fmt)
+        if way == "spark":
+            monkeypatch.setattr(zones, "can_hold", lambda *_: False)
+        zones.write_zone(rows.withColumn("title", F.lit("old")), root, "zone", F.col("source"), day, fmt, "r", 1)
+        zones.write_zone(rows.filter("source <> 'a/b'"), root, "zone", F.col("source"), day, fmt, "r", 1)
+        zones.write_zone(rows, root, "zone", F.col("source"), day, fmt, "r", 2, rows_per_file=1)
+        seen[way] = zone_rows(spark, root)
+        folder = Path(root, "zone")
+        files = sorted(str(p.relative_to(folder).parent) for p in folder.rglob("part-*") if p.is_file())
+        seen[way, "folders"], seen[way, "endings"] = files, {p.name.split(".", 2)[2] for p in folder.rglob("part-*")}
+        if way == "tasks":
+            # Every file that Hadoop's local client makes costs it a process, checksum files as well.
+            assert not list(folder.rglob(".*"))
+    assert seen["tasks"] == seen["spark"] and len(seen["tasks"]) == 4 * 7 + 4 * 6
+    assert seen["tasks", "folders"] == seen["spark", "folders"]
+    assert seen["tasks", "endings"] == seen["spark", "endings"]
+
+
+def test_a_write_that_fails_leaves_the_zone_as_it_was(spark, tmp_path):
+    rows, root = payload(spark), str(tmp_path / "json")
+    zones.write_zone(rows, root, "zone", "s", date(2023, 1, 5), run_id="r")
+    before = zone_rows(spark, root)
+    with pytest.raises(Exception, match="lost"):
+        zones.write_zone(
+            rows.withColumn("title", F.when(F.col("title") == "ferry", F.raise_error(F.lit("lost"))).otherwise("new")),
+            root, "zone", "s", date(2023, 1, 5), run_id="r")
+    assert zone_rows(spark, root) == before and len(before) == 4
+    assert not list(Path(root).rglob(".staging*"))
+
+
+def test_types_of_spark_alone_go_through_its_writer(spark, tmp_path):
+    rows = payload(spark).withColumn("span", F.expr("interval '3' day"))
+    zones.write_zone(rows, str(tmp_path), "zone", "s", date(2023, 1, 5), "parquet", run_id="r")
+    back = spark.read.parquet(str(tmp_path / "zone"))
+    assert back.count() == 4 and dict(back.dtypes)["span"] == dict(rows.dtypes)["span"]
